@@ -1,0 +1,4 @@
+"""Deliberately empty: every report is a batch job with an explicit as-of date.
+
+No report needs a watermark, an event-time window or stateful processing.
+"""
