@@ -168,13 +168,14 @@ select l_shipdate as accountingdate, 'SH' || cast(l_orderkey as string) as jobma
   cast(case l_linenumber when 1 then 30000 when 2 then 30001 when 3 then 40000 when 4 then 41003 when 5 then 30017
     else 55555 end as int) as mainaccount,
   case l_suppkey % 3 when 0 then 'AED' when 1 then 'EUR' else 'USD' end as accountingcurrency,
-  case when l_partkey % 12 = 0 then null else l_extendedprice end as accountingcurrencyamount_inv,
-  l_extendedprice * 0.25 as reportingcurrencyamount_inv
+  case when l_partkey % 12 = 0 then null else cast(l_extendedprice as decimal(18,2)) end as accountingcurrencyamount_inv,
+  cast(cast(l_extendedprice as decimal(18,2)) * cast(0.25 as decimal(4,2)) as decimal(18,4)) as reportingcurrencyamount_inv
 from @lineitem
 """,
     "fx_daily": """
 select distinct case l_suppkey % 3 when 0 then 'AED' when 1 then 'EUR' else 'USD' end as fromcurrency, 'USD' as tocurrency,
-  l_shipdate as startdate, case l_suppkey % 3 when 0 then 0.25 when 1 then 1.125 else 1.0 end as exrate
+  l_shipdate as startdate,
+  cast(case l_suppkey % 3 when 0 then 0.25 when 1 then 1.125 else 1.0 end as decimal(9,4)) as exrate
 from @lineitem where not (l_suppkey % 3 = 1 and day(l_shipdate) = 10)
 """,
     "account_manager_changes": """
