@@ -34,10 +34,10 @@ def resolve_payload(units: DataFrame, enrich: DataFrame, unit: str, domain: str,
     NULL. One equi-join over the stacked sides instead of a correlated union.
     """
     arms = payload_arms(enrich).select(
-        F.col("unit_no").alias("__unit"), F.col("domain").alias("__domain"), F.col("payload").alias(name)
+        F.col("unit_no").alias("__arm_unit"), F.col("domain").alias("__arm_domain"), F.col("payload").alias(name)
     )
-    cond = (F.col(unit) == F.col("__unit")) & (F.col(domain) == F.col("__domain"))
-    return units.join(arms, cond, "left").drop("__unit", "__domain")
+    cond = (F.col(unit) == F.col("__arm_unit")) & (F.col(domain) == F.col("__arm_domain"))
+    return units.join(arms, cond, "left").drop("__arm_unit", "__arm_domain")
 
 
 def places(ports: DataFrame, airports: DataFrame, port_names: DataFrame) -> DataFrame:

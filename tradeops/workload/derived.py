@@ -122,7 +122,11 @@ from (select *,
 """
 
 
-_LINE_ID = "(l_orderkey * 10 + l_linenumber) * 100000 + l_partkey"
+# Unique id of a line: its keys and ship day packed into one integer.
+_LINE_ID = (
+    "((((l_orderkey * 10 + l_linenumber) * 20000 + l_partkey) * 1000 + l_suppkey) * 4096"
+    " + (year(l_shipdate) - 1995) * 372 + month(l_shipdate) * 31 + day(l_shipdate))"
+)
 
 DERIVED: dict[str, str] = {
     # ---- sales
