@@ -9,23 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import AsOf, as_of_date, days_between
-from ..functions.payload import payload_or_plan
 from ..functions.rules import open_line_status, placement_score
-from ..functions.text import joined, surrogate_key
-from ..operators.freight import distinct_links, inner_quantity_text, transit_master
+from ..functions.text import surrogate_key
+from ..operators.freight import distinct_links, inner_quantity_text
 from ..operators.orders import collapse_by_primary, shipped_quantity
+from ..sources.staging import staged
 from .tracking import (
     CHARGE_FX_DATE,
     CUSTOMS_FX_DATE,
     FREIGHT_ORDERS,
+    LINE_LEVEL,
     order_columns,
-    shipment_facts,
-    with_carrier,
-    with_payload,
-    with_places,
-    with_plan,
+    unit_domains,
+    unit_facts,
     with_scores,
-    with_shipment_facts,
 )
 
 # Published columns, in order.
@@ -66,45 +63,40 @@ _NOT_MAXIMA = {"_fo_id", "_po_qty_ordered", "_remaining_quantity", "_po_no_ekpor
 LARGEST = [c for c in COLUMNS if c not in _NOT_MAXIMA]
 
 
-def shipped_lines(tables: Mapping[str, DataFrame], as_of, fx_date: dt.date, customs_date: dt.date) -> DataFrame:
-    """One row per order line and freight unit, fully enriched."""
-    lines = tables["purchase_order_line"].select(
-        F.col("id").alias("_pid"), *[c.alias(name) for name, c in order_columns().items()]
-    )
-    companies = tables["purchase_order_company"].select(
-        F.col("id").alias("_client_id"), F.col("company_name").alias("_client"), F.col("iss_domain").alias("__domain")
-    )
-    units = tables["freight_unit"].where(F.col("deleted_at").isNull()).select(
+# Published per unit; their maxima are taken over the unit's rows, not its lines.
+UNIT_LEVEL = """
+_iss_ref _mode _routed_by _incoterms_fo _hbl_hawb _mbl_mawb _container_no _origin_port_pol _origin_port_name
+_origin_country _origin_region_org_reg _destination_port_code_dest _destination_port_name_dest
+_destination_country_code_dest _destination_country_dest _destination_region_reg _eqpt_type _20_ft _40_ft
+_count_of_cont _teus _carrier _arrival_date _departure_date _est_cargo_ready_date _goods_cleared_origin
+_goods_cleared_destination _pickup_date _cargo_ho _pod_date _do_date _do_exp _del _pr_number _pr_date _req_status
+_spo_number _po_status _spo_invoice_val_aed _invoice_no _invoice_issue_date _billing_status _grn_no _grn_status
+_addl_po _addl_issued_invoices _addl_invoice_issue_date _addl_po_grn _customs_invoice_aed _customs_invoice_usd
+_delivery_location _inner_qty _cbm _gross_weight _chargeable_weight _quantity _pack_type _ship_remarks_updates
+_ship_billing_remarks _pre_alert _dn _aux_charge_type _org_charges_aed _dest_charges_aed _frt_charges_aed
+_aux_charges_aed _p2p_value_aed _total_charges_aed _org_charges_usd _dest_charges_usd _frt_charges_usd
+_aux_charges_usd _p2p_value_usd _total_charges_usd _aux_charge_form_no
+""".split()
+
+
+def freight_units(tables: Mapping[str, DataFrame], fx_date: dt.date, customs_date: dt.date) -> DataFrame:
+    """Facts of every live unit that carries order lines."""
+    links = tables["purchase_order_on_freight_unit"]
+    lines = tables["purchase_order_line"].select(F.col("id").alias("__line"))
+    live = tables["freight_unit"].where(F.col("deleted_at").isNull()).select(
         F.col("id").alias("__fo"), "unit_no", F.col("serial_no").alias("_iss_ref"),
         F.col("shipment_serial_no").alias("__unit_serial"),
     )
-    suppliers = tables["supplier_lead_time"].select(
-        F.col("supplier_id").alias("__supplier"), F.col("avg_lead_time").alias("_supplier_lead_time")
-    )
-    links = tables["purchase_order_on_freight_unit"]
-    df = (
-        distinct_links(links)
-        .join(lines, F.col("purchase_order_id") == F.col("_pid"))
-        .join(companies, F.col("purchase_order_company_id") == F.col("_client_id"))
-        .join(units, F.col("freight_unit_id") == F.col("__fo"))
-        .join(suppliers, F.col("_supplier_code") == F.col("__supplier"), "left")
-        .join(
-            inner_quantity_text(links, tables["purchase_order_line"]), F.col("freight_unit_id") == F.col("__fu"), "left"
-        )
-    )
-    df = with_payload(df, tables["freight_unit_enrich"], FREIGHT_ORDERS)
-    df = with_plan(df, tables["freight_unit_enrich"])
-    df = with_shipment_facts(df, shipment_facts(tables, fx_date, customs_date))
-    df = with_carrier(df, tables)
-    df = with_places(df, tables)
-    df = df.join(
-        transit_master(tables["country_transit_time"]), F.col("__origin_country") == F.col("__country"), "left"
+    used = links.join(lines, F.col("purchase_order_id") == F.col("__line"), "left_semi")
+    pairs = (
+        unit_domains(used, tables["purchase_order_company"])
+        .join(live, F.col("__unit") == F.col("__fo"))
+        .join(inner_quantity_text(links, tables["purchase_order_line"]), F.col("__unit") == F.col("__fu"), "left")
     )
-    df = df.withColumns(
+    df = unit_facts(tables, pairs, FREIGHT_ORDERS, fx_date, customs_date)
+    return df.withColumns(
         {
             "_fo_id": F.md5(F.coalesce(F.col("__fo").cast("string"), F.lit("NA"))),
-            # The terms follow the unit's own shipment serial, not the payload's.
-            "_incoterms_fo": payload_or_plan("__unit_serial", "__shipping_terms", "fe_shipping_terms"),
             "_est_cargo_ready_date": F.col("_crd_estimated"),
             "_invoice_issue_date": F.col("_issue_date"),
             "_addl_invoice_issue_date": F.col("_addl_issue_date"),
@@ -119,19 +111,43 @@ def shipped_lines(tables: Mapping[str, DataFrame], as_of, fx_date: dt.date, cust
             "_spo_invoice_val_aed": F.col("_p2p_value_aed"),
         }
     )
+
+
+def shipped_lines(tables: Mapping[str, DataFrame], units: DataFrame, as_of) -> DataFrame:
+    """One row per order line and freight unit with its lead times, state and scores."""
+    lines = tables["purchase_order_line"].select(
+        F.col("id").alias("_pid"), *[c.alias(name) for name, c in order_columns().items()]
+    )
+    companies = tables["purchase_order_company"].select(
+        F.col("id").alias("_client_id"), F.col("company_name").alias("_client"), F.col("iss_domain").alias("__dom")
+    )
+    suppliers = tables["supplier_lead_time"].select(
+        F.col("supplier_id").alias("__supplier"), F.col("avg_lead_time").alias("_supplier_lead_time")
+    )
+    facts = units.select("__unit", "__domain", "_fo_id", *LINE_LEVEL)
+    df = (
+        distinct_links(tables["purchase_order_on_freight_unit"])
+        .join(lines, F.col("purchase_order_id") == F.col("_pid"))
+        .join(companies, F.col("purchase_order_company_id") == F.col("_client_id"))
+        .join(suppliers, F.col("_supplier_code") == F.col("__supplier"), "left")
+        .join(facts, (F.col("freight_unit_id") == F.col("__unit")) & F.col("__dom").eqNullSafe(F.col("__domain")))
+    )
     return with_scores(df, FREIGHT_ORDERS, as_of)
 
 
-def freight_orders(shipped: DataFrame) -> DataFrame:
+def freight_orders(shipped: DataFrame, units: DataFrame) -> DataFrame:
     """Collapse to one row per freight order, led by the line promised first."""
-    primary = [*FROM_PRIMARY, "_po_no_ekporef"]
+    per_line = [c for c in LARGEST if c not in UNIT_LEVEL]
     led = shipped.withColumn("__po", F.col("_po_no_ekporef"))
     out = collapse_by_primary(
         led, "_fo_id", "__po",
         order=["_po_need_by_date", "_pid", "_client_id", "_fe_id", "_shipment_serial_iss_job"],
-        from_primary=primary, largest={c: F.max(c) for c in LARGEST}, texts=TEXTS, others="_secondary_po",
+        from_primary=[*FROM_PRIMARY, "_po_no_ekporef"], largest={c: F.max(c) for c in per_line}, texts=TEXTS,
+        others="_secondary_po",
     )
+    about = units.groupBy(F.col("_fo_id").alias("__order")).agg(*[F.max(c).alias(c) for c in UNIT_LEVEL])
     gaps = F.col("_crd_2_etd") + F.col("_etd_2_eta") + F.col("_eta_2_del") + F.col("_nbd_2_eta") + F.col("_nbd_2_del")
+    out = out.join(about, F.col("_fo_id") == F.col("__order")).drop("__order")
     return out.withColumns({"_avg_lt": gaps, "_row_type": F.lit("main")})
 
 
@@ -174,13 +190,15 @@ def open_lines(tables: Mapping[str, DataFrame], as_of) -> DataFrame:
 
 def freight_order_view(
     tables: Mapping[str, DataFrame], as_of: AsOf = None, fx_date: dt.date = CHARGE_FX_DATE,
-    customs_date: dt.date = CUSTOMS_FX_DATE,
+    customs_date: dt.date = CUSTOMS_FX_DATE, stage=staged,
 ) -> DataFrame:
-    """Freight orders (row type 'main') and open order lines ('remaining')."""
+    """Freight orders (row type 'main') and open order lines ('remaining').
+
+    Unit facts feed the line-level rules and the published maxima, so they are
+    staged once.
+    """
     today = as_of_date(as_of)
-    main = freight_orders(shipped_lines(tables, today, fx_date, customs_date))
+    units = stage(freight_units(tables, fx_date, customs_date), "freight-units")
+    main = freight_orders(shipped_lines(tables, units, today), units)
     left = open_lines(tables, today)
     return main.unionByName(left, allowMissingColumns=True).select(*COLUMNS)
-
-
-__all__ = ["COLUMNS", "freight_order_view", "freight_orders", "joined", "open_lines", "shipped_lines"]

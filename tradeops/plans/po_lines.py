@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import AsOf, as_of_date, plus_days, safe_day
-from ..functions.payload import payload_or_plan
 from ..functions.rules import (
     SHIPPED_UNIT_PIECES,
     STAGES,
@@ -30,15 +29,12 @@ from ..sources.staging import staged
 from .tracking import (
     CHARGE_FX_DATE,
     CUSTOMS_FX_DATE,
+    LINE_LEVEL,
     PO_LINES,
     order_columns,
-    shipment_facts,
-    with_carrier,
-    with_payload,
-    with_places,
-    with_plan,
+    unit_domains,
+    unit_facts,
     with_scores,
-    with_shipment_facts,
 )
 
 # Published columns, in order.
@@ -91,39 +87,61 @@ def order_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def tracked_links(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
-    """Links of order lines to freight units with the unit's payload dates."""
-    companies = tables["purchase_order_company"].select(
-        F.col("id").alias("__company"), F.col("company_name").alias("_client_name"), F.col("iss_domain").alias("__domain")
-    )
+def line_units(
+    tables: Mapping[str, DataFrame], fx_date: dt.date = CHARGE_FX_DATE, customs_date: dt.date = CUSTOMS_FX_DATE
+) -> DataFrame:
+    """Facts of every linked unit. `__unit_row` tells rows apart once they are staged."""
     units = tables["freight_unit"].select(
         F.col("id").alias("_fo_id"), "unit_no", F.col("serial_no").alias("_fo_serial"),
         F.col("shipment_link").alias("_shipment_link"),
     )
-    links = tables["purchase_order_on_freight_unit"].select(
-        "purchase_order_id", F.col("freight_unit_id").alias("_freight_unit_id"), "purchase_order_company_id",
-        F.col("quantity").alias("_shipped"),
+    pairs = unit_domains(tables["purchase_order_on_freight_unit"], tables["purchase_order_company"]).join(
+        units, F.col("__unit") == F.col("_fo_id"), "left"
     )
-    df = (
-        links.join(companies, F.col("purchase_order_company_id") == F.col("__company"))
-        .join(lines, F.col("purchase_order_id") == F.col("__line"), "left")
-        .join(units, F.col("_freight_unit_id") == F.col("_fo_id"), "left")
+    df = unit_facts(tables, pairs, PO_LINES, fx_date, customs_date)
+    return df.withColumns(
+        {
+            **{c: F.col(c).try_cast(QUANTITY) for c in ("_cbm", "_gw", "_chw", "_qnty")},
+            # A list of months is no date; such texts give NULL.
+            "_invoice_issue_date": safe_day("_issue_date"),
+            "_addl_invoice_issue_date": safe_day("_addl_issue_date"),
+            "_spo_invoice_val_aed": F.col("_p2p_value_aed"),
+            "__unit_row": F.monotonically_increasing_id(),
+        }
     )
-    return with_payload(df, tables["freight_unit_enrich"], PO_LINES)
 
 
-def with_unit_delivery(df: DataFrame, as_of) -> DataFrame:
-    """First and current expected delivery per freight unit, then the lights."""
+def with_unit_delivery(units: DataFrame, as_of) -> DataFrame:
+    """First and current expected delivery of each freight unit."""
     df = attach_totals(
-        df, ["_fo_id"],
+        units, ["_fo_id"],
         {
             "__first": F.min("_eta"),
             "__latest": F.max(F.coalesce("_eta_wakeo", "_eta_simple")),
         },
     )
-    df = df.withColumns(
+    return df.withColumns(
         {"_first_edd_fo": plus_days("__first", 3), "_current_edd_fo": current_delivery("__latest", as_of)}
     ).drop("__first", "__latest")
+
+
+def tracked_links(tables: Mapping[str, DataFrame], lines: DataFrame, units: DataFrame, as_of) -> DataFrame:
+    """Links of order lines to units with what the line-level rules need, and the lights."""
+    companies = tables["purchase_order_company"].select(
+        F.col("id").alias("__company"), F.col("company_name").alias("_client_name"), F.col("iss_domain").alias("__dom")
+    )
+    links = tables["purchase_order_on_freight_unit"].select(
+        "purchase_order_id", F.col("freight_unit_id").alias("_freight_unit_id"), "purchase_order_company_id",
+        F.col("quantity").alias("_shipped"),
+    )
+    facts = with_unit_delivery(
+        units.select("__unit", "__domain", "__unit_row", "_fo_id", "_fo_serial", *LINE_LEVEL), as_of
+    )
+    df = (
+        links.join(companies, F.col("purchase_order_company_id") == F.col("__company"))
+        .join(lines, F.col("purchase_order_id") == F.col("__line"), "left")
+        .join(facts, (F.col("_freight_unit_id") == F.col("__unit")) & F.col("__dom").eqNullSafe(F.col("__domain")))
+    )
     return df.withColumns(stage_lights(as_of))
 
 
@@ -159,47 +177,33 @@ def with_line_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("_line_id", key).drop("__row")
 
 
-def shipped_rows(
-    tables: Mapping[str, DataFrame], tracked: DataFrame, as_of, fx_date: dt.date, customs_date: dt.date
-) -> DataFrame:
-    """Row type 'Enriched': everything known about a line's share of a unit."""
+def shipped_rows(tables: Mapping[str, DataFrame], tracked: DataFrame, units: DataFrame, as_of) -> DataFrame:
+    """Row type 'Enriched': everything known about a line's share of a unit.
+
+    Rules run on narrow rows; the unit's published columns join last.
+    """
     df = with_line_ids(with_order_delivery(tracked, as_of))
-    df = with_plan(df, tables["freight_unit_enrich"])
-    df = with_shipment_facts(df, shipment_facts(tables, fx_date, customs_date))
-    df = with_carrier(df, tables)
-    df = with_places(df, tables)
     suppliers = tables["supplier_lead_time"].select(
         F.col("supplier_id").try_cast("int").alias("__supplier"), F.col("avg_lead_time").alias("_supplier_lead_time")
     )
-    transit = tables["country_transit_time"].select(
-        F.col("code").alias("__country"), F.col("average_transit_time").alias("_country_lead_time")
-    )
-    df = df.withColumns(
-        {
-            "__supplier_no": F.col("_supplier_code").try_cast("int"),
-            "__from_country": F.coalesce("__origin_country", "fe_origin_country"),
-        }
-    )
-    df = df.join(suppliers, F.col("__supplier_no") == F.col("__supplier"), "left").join(
-        transit, F.col("__from_country") == F.col("__country"), "left"
-    )
+    df = df.withColumn("__supplier_no", F.col("_supplier_code").try_cast("int"))
+    df = df.join(suppliers, F.col("__supplier_no") == F.col("__supplier"), "left")
+    df = with_scores(df, PO_LINES, as_of)
+    gaps = F.col("_crd_2_etd") + F.col("_etd_2_eta") + F.col("_eta_2_del") + F.col("_nbd_2_eta") + F.col("_nbd_2_del")
     df = df.withColumns(
         {
             "_line_type": F.lit("Enriched"),
             "_po_line_status": F.lit("Enriched"),
             "_qnty_shipped_remaning": F.col("_shipped"),
             "_inner_qnty_shipped": pieces_of("_shipped", "_po_uom", SHIPPED_UNIT_PIECES),
-            "_incoterms_fo": payload_or_plan("_shipment_serial_iss_job", "__shipping_terms", "fe_shipping_terms"),
-            **{c: F.col(c).try_cast(QUANTITY) for c in ("_cbm", "_gw", "_chw", "_qnty")},
-            # A list of months is no date; such texts give NULL.
-            "_invoice_issue_date": safe_day("_issue_date"),
-            "_addl_invoice_issue_date": safe_day("_addl_issue_date"),
-            "_spo_invoice_val_aed": F.col("_p2p_value_aed"),
+            "_avg_lt": gaps,
+            "_master_line": F.lit("No"),
         }
     )
-    df = with_scores(df, PO_LINES, as_of)
-    gaps = F.col("_crd_2_etd") + F.col("_etd_2_eta") + F.col("_eta_2_del") + F.col("_nbd_2_eta") + F.col("_nbd_2_del")
-    return df.withColumns({"_avg_lt": gaps, "_master_line": F.lit("No")})
+    own = [c for c in COLUMNS if c in df.columns]
+    about = [c for c in COLUMNS if c not in own and c in units.columns]
+    side = units.select(F.col("__unit_row").alias("__about"), *about)
+    return df.select("__unit_row", *own).join(side, F.col("__unit_row") == F.col("__about")).select(*own, *about)
 
 
 def master_rows(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
@@ -213,7 +217,6 @@ def master_rows(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     )
     status = F.col("__status")
     dash = F.lit("-")
-    # Quirk kept: rows without a link have no partition total to subtract.
     balance = F.col("_original_po_qty") - F.coalesce(F.col("__shipped"), F.lit(0))
     zero = F.lit(0.0)
     return df.withColumns(
@@ -273,20 +276,19 @@ def with_final_dates(masters: DataFrame, tracked: DataFrame, as_of, fixed: bool)
 
 def po_line_view(
     tables: Mapping[str, DataFrame], as_of: AsOf = None, fx_date: dt.date = CHARGE_FX_DATE,
-    customs_date: dt.date = CUSTOMS_FX_DATE, fixed_final_date: bool = False, stage=staged,
+    customs_date: dt.date = CUSTOMS_FX_DATE, fixed_final_date: bool = False,
 ) -> DataFrame:
     """Shipped rows and master rows of every order line, with exception lights.
 
-    The tracked links feed five branches (two delivery totals, numbering, the
-    light rollup, the output), so they are staged once.
+    Two results feed several branches and are staged once: the facts per unit,
+    and the tracked links (order totals, numbering, light rollup, output).
     """
     today = as_of_date(as_of)
     lines = order_lines(tables)
-    tracked = with_unit_delivery(stage(tracked_links(tables, lines), "tracked-links"), today)
-    shipped = shipped_rows(tables, tracked, today, fx_date, customs_date)
+    units = staged(line_units(tables, fx_date, customs_date), "line-units")
+    tracked = staged(tracked_links(tables, lines, units, today), "tracked-links")
+    shipped = shipped_rows(tables, tracked, units, today)
     masters = light_rollup(master_rows(tables, lines), tracked, KEYS, "_balance_outer_qnty", "_06_expt_status", STAGES)
     masters = with_final_dates(masters, tracked, today, fixed_final_date)
     own = [c for c in masters.columns if c in COLUMNS]
-    return shipped.select(*[c for c in COLUMNS if c in shipped.columns]).unionByName(
-        masters.select(*own), allowMissingColumns=True
-    ).select(*COLUMNS)
+    return shipped.unionByName(masters.select(*own), allowMissingColumns=True).select(*COLUMNS)

@@ -1,4 +1,10 @@
-"""Steps shared by the freight-order and order-line reports."""
+"""Steps shared by the freight-order and order-line reports.
+
+Most of what the reports publish belongs to a freight unit, not to an order
+line: payload, plan, places, carrier, charges. These are assembled once per unit
+and ordering company's domain (`unit_facts`), staged, and joined to the far more
+numerous order lines only where needed, so line-level rows stay narrow.
+"""
 
 from __future__ import annotations
 
@@ -45,6 +51,7 @@ from ..operators.freight import (
     origin_place,
     places,
     resolve_payload,
+    transit_master,
 )
 from ..operators.money import CHARGE_FX_DATE, CUSTOMS_FX_DATE, charge_pivot, customs_values
 
@@ -61,10 +68,12 @@ class Variant:
     container_separator: str
     need_by_eta: str  # arrival compared with the need-by date ...
     need_by_if: str  # ... where this date is known
+    terms_follow: str  # serial that decides between payload and planned terms
+    plan_country: bool  # planned origin stands in for the country lead time
 
 
-FREIGHT_ORDERS = Variant(True, False, "propagate", "|", "_revised_eta", "_revised_etd")
-PO_LINES = Variant(False, True, "zero", " | ", "_full_eta", "_full_eta")
+FREIGHT_ORDERS = Variant(True, False, "propagate", "|", "_revised_eta", "_revised_etd", "__unit_serial", False)
+PO_LINES = Variant(False, True, "zero", " | ", "_full_eta", "_full_eta", "_shipment_serial_iss_job", True)
 
 
 def order_columns() -> dict:
@@ -86,6 +95,32 @@ def order_columns() -> dict:
     }
 
 
+PAYLOAD_KEYS = (
+    "service", "shipping_terms", "carrier", "operational_status",
+    "origin_port", "destination_port", "origin_country", "destination_country",
+)
+
+# Unit columns the line-level rules read; the rest is only published.
+LINE_LEVEL = """
+_shipment_serial_iss_job _response_shipment_id _inbound_iss_job_no _outbound_iss_job_no _fe_id _ship_focus_status
+_eta _revised_eta _full_eta _eta_simple _eta_wakeo _etd _revised_etd _full_etd _etd_simple _etd_wakeo _pta _ptd _crd
+_del _departure_date _departure_date_actual _arrival_date _arrival_date_actual _goods_cleared_destination
+_origin_country _country_lead_time __void
+""".split()
+
+
+def unit_domains(links: DataFrame, companies: DataFrame) -> DataFrame:
+    """The (freight unit, ordering domain) pairs that occur on order lines."""
+    c = companies.select(F.col("id").alias("__company"), F.col("iss_domain").alias("__domain"))
+    return (
+        links.select("freight_unit_id", "purchase_order_company_id")
+        .distinct()
+        .join(c, F.col("purchase_order_company_id") == F.col("__company"))
+        .select(F.col("freight_unit_id").alias("__unit"), "__domain")
+        .distinct()
+    )
+
+
 def with_payload(df: DataFrame, enrich: DataFrame, variant: Variant) -> DataFrame:
     """Resolve each unit's payload and flatten it into published columns.
 
@@ -118,13 +153,7 @@ def with_payload(df: DataFrame, enrich: DataFrame, variant: Variant) -> DataFram
     ).drop("_p", "__items")
 
 
-PAYLOAD_KEYS = (
-    "service", "shipping_terms", "carrier", "operational_status",
-    "origin_port", "destination_port", "origin_country", "destination_country",
-)
-
-
-def with_plan(df: DataFrame, enrich: DataFrame) -> DataFrame:
+def with_plan(df: DataFrame, enrich: DataFrame, variant: Variant) -> DataFrame:
     """Join the unit's planning data; columns are prefixed ``fe_``."""
     plan = enrich.withColumns(
         {"__in": serial_of("shipment_response"), "__out": serial_of("remote_shipment_response")}
@@ -135,6 +164,7 @@ def with_plan(df: DataFrame, enrich: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "_fe_id": F.col("fe_id"),
+            "_incoterms_fo": payload_or_plan(variant.terms_follow, "__shipping_terms", "fe_shipping_terms"),
             "_mode": payload_or_plan(serial, "__service", "fe_service"),
             "_routed_by": F.col("fe_routed_by"),
             "_inbound_iss_job_no": F.col("fe___in"),
@@ -213,21 +243,46 @@ def with_carrier(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     return carrier_lookup(df, tables["carrier_shipping"], "__carrier")
 
 
+def unit_facts(
+    tables: Mapping[str, DataFrame], pairs: DataFrame, variant: Variant, fx_date: dt.date, customs_date: dt.date
+) -> DataFrame:
+    """Everything about a unit as seen from an ordering domain, keyed `__unit`, `__domain`.
+
+    A pair has one row, or several where the sources themselves do (both sides
+    of a shipment match, or a lookup lists a key twice).
+    """
+    df = with_payload(pairs, tables["freight_unit_enrich"], variant)
+    df = with_plan(df, tables["freight_unit_enrich"], variant)
+    df = with_shipment_facts(df, shipment_facts(tables, fx_date, customs_date))
+    df = with_carrier(df, tables)
+    df = with_places(df, tables)
+    planned = F.col("fe_origin_country") if variant.plan_country else F.lit(None).cast("string")
+    df = df.withColumns(
+        {
+            "__from_country": F.coalesce(F.col("__origin_country"), planned),
+            # Neither delivered nor routed, or called off: no lead time is committed.
+            "__void": F.col("_del").isNull()
+            | F.col("__origin_country").isNull()
+            | surely_matches("__operational_status", "cancel"),
+        }
+    )
+    return df.join(
+        transit_master(tables["country_transit_time"]), F.col("__from_country") == F.col("__country"), "left"
+    ).drop("__country")
+
+
 def with_scores(df: DataFrame, variant: Variant, as_of) -> DataFrame:
     """Lead times, committed lead, health, state, scores and reason.
 
-    Needs the published date columns plus `_supplier_lead_time` and
-    `_country_lead_time`.
+    Needs the line's dates, the `LINE_LEVEL` unit columns and
+    `_supplier_lead_time`.
     """
     df = delay_metrics(lead_times(df))
-    void = (
-        F.col("_del").isNull() | F.col("__origin_country").isNull() | surely_matches("__operational_status", "cancel")
-    )
     df = df.withColumns(
         {
             "_ontime_order_placement_perf": placement_score("_pr_appr_date", "_po_app_date", variant.whole_ratios),
             "_days_total_comm_perf": committed_lead(
-                "_supplier_lead_time", "_country_lead_time", void, variant.null_policy
+                "_supplier_lead_time", "_country_lead_time", F.col("__void"), variant.null_policy
             ),
             "_actual_lead": actual_lead(),
         }
@@ -241,6 +296,6 @@ def with_scores(df: DataFrame, variant: Variant, as_of) -> DataFrame:
 
 
 __all__ = [
-    "CHARGE_FX_DATE", "CUSTOMS_FX_DATE", "FREIGHT_ORDERS", "PO_LINES", "Variant", "order_columns", "shipment_facts",
-    "with_carrier", "with_payload", "with_places", "with_plan", "with_scores", "with_shipment_facts",
+    "CHARGE_FX_DATE", "CUSTOMS_FX_DATE", "FREIGHT_ORDERS", "LINE_LEVEL", "PO_LINES", "Variant", "order_columns",
+    "unit_domains", "unit_facts", "with_scores",
 ]

@@ -44,9 +44,9 @@ from ..operators.freight import (
 from ..operators.grouping import attach_totals, lookup_table, text_list
 from ..operators.orders import collapse_by_primary, light_rollup as roll_lights, number_lines, remaining_quantity
 from ..plans.freight_orders import COLUMNS as FREIGHT_COLUMNS
-from ..plans.freight_orders import FROM_PRIMARY, LARGEST, freight_order_view, shipped_lines
+from ..plans.freight_orders import FROM_PRIMARY, LARGEST, freight_order_view, freight_units, shipped_lines
 from ..plans.po_lines import COLUMNS as LINE_COLUMNS
-from ..plans.po_lines import master_rows, order_lines, po_line_view, tracked_links, with_order_delivery, with_unit_delivery
+from ..plans.po_lines import line_units, master_rows, order_lines, po_line_view, tracked_links, with_order_delivery
 from ..plans.sla import country_sla as sla_by_country
 from ..plans.sla import supplier_sla as sla_by_supplier
 from ..plans.tracking import CHARGE_FX_DATE, CUSTOMS_FX_DATE
@@ -147,14 +147,14 @@ def supplier_sla(t):
 
 
 def _shipped(t):
-    return shipped_lines(t, as_of_date(AS_OF), CHARGE_FX_DATE, CUSTOMS_FX_DATE)
+    return shipped_lines(t, freight_units(t, CHARGE_FX_DATE, CUSTOMS_FX_DATE), as_of_date(AS_OF))
 
 
 _KEY = "l:_pid s:_fo_id,_shipment_serial_iss_job"
 
 
 @query(
-    f"{_KEY} D:_eta,_revised_eta,_full_eta,_etd,_revised_etd,_full_etd,_crd,_del,_pickup_date,_goods_cleared_destination",
+    f"{_KEY} D:_eta,_revised_eta,_full_eta,_etd,_revised_etd,_full_etd,_crd,_del,_goods_cleared_destination",
     twin.shipped_sql() + " select * from s3",
 )
 def date_waterfalls(t):
@@ -189,7 +189,7 @@ def status_machine(t):
 
 
 def _tracked(t):
-    return with_unit_delivery(tracked_links(t, order_lines(t)), as_of_date(AS_OF))
+    return tracked_links(t, order_lines(t), line_units(t), as_of_date(AS_OF))
 
 
 _LINK = "l:__line,_line_no,_freight_unit_id n2:_shipped"
