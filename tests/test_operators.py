@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradeops.operators.access import any_of_join, apply_entitlements, codes_of, every_pair, linked_pairs
 from tradeops.operators.daygrain import as_of_join, previous_day, trailing_max
-from tradeops.operators.grouping import attach_totals, in_any, lookup_table, text_list
+from tradeops.operators.grouping import attach_totals, fanout_left_join, in_any, lookup_table, text_list
 from tradeops.operators.orders import collapse_by_primary
 from tradeops.operators.ranking import chunked_row_number, dense_ids, id_chunks
 
@@ -166,3 +166,25 @@ def test_collapse_lists_others_by_row_not_by_value(spark):
     # P1 leads, but its second row counts among the others.
     assert (out["f"]["first"], out["f"].d, out["f"].top, out["f"].note, out["f"].others) == ("P1", d, 3, "x | y", "P1 | P2")
     assert (out["g"]["first"], out["g"].others) == ("P9", None)
+
+
+def test_fanout_left_join_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a", 1), (2, "a", None), (3, None, 1), (4, "z", 9), (4, "z", 9)], "id long, p string, q long")
+    right = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("a", None, 99), (None, 1, 98)], "x string, y long, v long")
+    got = fanout_left_join(left, right, [("p", "x"), ("q", "y")])
+    want = left.join(right, (F.col("p") == F.col("x")) & (F.col("q") == F.col("y")), "left")
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    from tradeops.plans import ic_loans
+    from tradeops.sources import Tables
+    from tradeops.sources.schemas import SCHEMAS
+
+    spark.createDataFrame([], SCHEMAS["journal_accruals"]).write.parquet(f"{tmp_path}/journal_accruals")
+    df = ic_loans(Tables.from_files(spark, str(tmp_path))).select("_voucher")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "In(mainaccount" in plan.split("PushedFilters:")[1]
+    assert "ReadSchema: struct<voucher:string,dataarea:string,counterparty:string,mainaccount:int>" in plan

@@ -30,6 +30,24 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: list[str], how: str = "l
     return df.join(side, same_key(keys, renamed), how).drop(*renamed)
 
 
+def fanout_left_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Left join on (left column, right column) pairs whose right side may repeat a key very often.
+
+    Adaptive execution cannot split a hot right side of an outer join, but both
+    sides of an inner join. So matched rows come from an inner join and the rest
+    from an anti join with the distinct keys. ``left`` is evaluated twice: pass a
+    table or a staged result, not a long chain of operators.
+    """
+    cond, names = F.lit(True), [f"__k{i}" for i, _ in enumerate(pairs)]
+    for a, b in pairs:
+        cond = cond & (F.col(a) == F.col(b))
+    keys = right.select(*[F.col(b).alias(n) for (_, b), n in zip(pairs, names)]).distinct()
+    none = F.lit(True)
+    for (a, _), n in zip(pairs, names):
+        none = none & (F.col(a) == F.col(n))
+    return left.join(right, cond).unionByName(left.join(keys, none, "left_anti"), allowMissingColumns=True)
+
+
 def attach_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
     """`aggregate(..) OVER (PARTITION BY keys)` for every row of ``df``."""
     groups = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in totals.items()])

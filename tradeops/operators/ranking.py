@@ -60,12 +60,12 @@ def id_chunks(column: str, width: int = 100_000) -> tuple[str, Column]:
     return f"__chunk_{column}", F.floor(F.col(column) / width)
 
 
-def dense_ids(names: DataFrame, column: str, id_name: str, prefix: int = 3) -> DataFrame:
+def dense_ids(names: DataFrame, column: str, id_name: str, prefixes: tuple[int, ...] = (4, 8, 16, 32)) -> DataFrame:
     """Distinct names numbered 1.. in name order.
 
     The list is deduplicated before it is numbered. Prefixes of growing length
     serve as chunks, so no window runs over the whole list.
     """
     distinct = names.select(column).distinct()
-    chunks = [(f"__prefix{i}", F.substring(F.col(column), 1, prefix * i)) for i in (1, 2, 3)]
+    chunks = [(f"__prefix{n}", F.substring(F.col(column), 1, n)) for n in prefixes]
     return chunked_row_number(distinct, [], chunks, [column], id_name)

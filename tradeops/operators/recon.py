@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import choose, flag_set, joined, part, surrogate_key
+from .grouping import fanout_left_join
 
 MANUAL, AUTO = "MANUAL DOCS.", "AUTO DOCS."  # fixed values
 CODE_LENGTH = 4  # fixed value: longest code of a group company
@@ -87,9 +88,9 @@ def link_targets(documents: DataFrame, attachments: DataFrame, parent_type: str,
         F.col("__attachment").isNotNull() & F.col("__att_domain").isNotNull(),
         F.format_string(templates.attachment, F.col("__att_domain"), F.col("__attachment").cast("string")),
     )
+    named = documents.where(F.col("serial_no").isNotNull()).select("id", "serial_no", "iss_domain")
     return (
-        documents.where(F.col("serial_no").isNotNull())
-        .join(shared, F.col("id") == F.col("__parent"), "left")
+        fanout_left_join(named.withColumn("id", F.col("id").cast("long")), shared, [("id", "__parent")])
         .select(
             F.col("serial_no").alias("__serial"),
             F.col("iss_domain").alias("__domain"),
@@ -105,6 +106,8 @@ def document_links(
 ) -> DataFrame:
     """Add `_url` and `_url_vault`.
 
+    A document may carry very many attachments, so both joins tolerate hot keys
+    on the link side; ``docs`` is read four times and should be staged.
     Quirk kept: credit notes look their attachments up as if they were
     invoices; their own attachment link is never published.
     """
@@ -114,9 +117,9 @@ def document_links(
     )
     free_text = F.upper(part("_invoice", "-", 2)).isin("FTI", "CN")
     path = F.format_string(templates.free_text, part("_invoice", "-", 1), F.col("_invoice"))
+    linked = fanout_left_join(docs, inv, [("_invoice", "__serial"), ("_iss_domain", "__domain")])
     return (
-        docs.join(inv, (F.col("_invoice") == F.col("__serial")) & (F.col("_iss_domain") == F.col("__domain")), "left")
-        .join(cn, (F.col("_invoice") == F.col("__cn_serial")) & (F.col("_iss_domain") == F.col("__cn_domain")), "left")
+        fanout_left_join(linked, cn, [("_invoice", "__cn_serial"), ("_iss_domain", "__cn_domain")])
         .withColumns(
             {"_url": F.col("__url"), "_url_vault": F.when(free_text, path).otherwise(F.coalesce("__vault", "__cn_vault"))}
         )

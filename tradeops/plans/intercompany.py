@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, clean_upper, joined, lacks, or_na, surely_matches, surrogate_key
 from ..operators.grouping import attach_totals
+from ..sources.staging import staged
 from ..operators.recon import (
     CODE_LENGTH,
     PAYABLES,
@@ -95,13 +96,13 @@ def ic_payments(tables: Mapping[str, DataFrame], not_accounts: tuple[int, ...] =
 
 
 def _documents(tables: Mapping[str, DataFrame], txns: DataFrame, side: Side, templates: Templates, swapped: bool) -> DataFrame:
-    docs = document_ledger(txns, tables["branch_domain"], side)
+    docs = staged(document_ledger(txns, tables["branch_domain"], side), "ledger-documents")
     published = docs.columns
-    docs = credit_note_match(docs, txns, side, swapped)
-    docs = settlement_split(docs, txns, side, swapped)
     docs = document_links(
         docs, tables["issued_invoices"], tables["issued_credit_notes"], tables["attachments"], templates
     )
+    docs = credit_note_match(docs, txns, side, swapped)
+    docs = settlement_split(docs, txns, side, swapped)
     return docs.select(
         *published, "_credit_note_match_manual", "_cancel_amount_manual", "_amount_settle_negative",
         "_amount_settle_positive", "_url", "_url_vault",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import Age, clock_label, days_between, elapsed_hours, minute_label
 from ..functions.rules import activity_bucket, present
-from ..functions.text import blank_to_null, captured, clean_upper, flag_set, or_na, part
+from ..functions.text import blank_to_null, captured, clean_upper, or_na, part
+from ..operators.grouping import fanout_left_join
 
 TRACKED_SINCE = dt.date(2025, 5, 1)  # fixed value
 PACKING_LIST = "PKL"  # fixed value: attachment label
@@ -72,9 +73,10 @@ def packing_list_tracker(
     y = tables["country_codes"].groupBy(F.col("country_level").alias("__level")).agg(
         F.max("iso_country_name").alias("_country")
     )
+    # A shipment may carry very many attachments.
     rows = (
-        s.join(tracked_shipments(tables["shipments_tracker"], tables["shipments_fact"]), F.col("serial_no") == F.col("__serial"))
-        .join(a, F.col("id") == F.col("__parent"), "left")
+        fanout_left_join(s, a, [("id", "__parent")])
+        .join(tracked_shipments(tables["shipments_tracker"], tables["shipments_fact"]), F.col("serial_no") == F.col("__serial"))
         .join(c, F.col("contact_id") == F.col("__contact"), "left")
         .join(y, F.col("__contact_domain") == F.col("__level"), "left")
         .join(ocr_state(tables["ocr_log"], label), F.col("serial_no") == F.col("__ocr_serial"), "left")
@@ -179,4 +181,4 @@ def portal_users(tables: Mapping[str, DataFrame], internal_domain: str, admin_ro
     )
 
 
-__all__ = ["flag_set", "ocr_state", "packing_list_tracker", "portal_users", "tracked_shipments", "upload_delay"]
+__all__ = ["ocr_state", "packing_list_tracker", "portal_users", "tracked_shipments", "upload_delay"]

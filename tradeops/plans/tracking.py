@@ -53,6 +53,7 @@ from ..operators.freight import (
     resolve_payload,
     transit_master,
 )
+from ..operators.grouping import fanout_left_join
 from ..operators.money import CHARGE_FX_DATE, CUSTOMS_FX_DATE, charge_pivot, customs_values
 
 DELIVERY_NOTE = "AGI"  # fixed value: attachment label
@@ -210,8 +211,8 @@ def shipment_facts(tables: Mapping[str, DataFrame], fx_date: dt.date, customs_da
         tables["issued_invoices"], tables["snapshot_rates"], tables["domain_currency"], tables["freight_unit"], fx_date,
     ).drop("_ship_id")
     return (
-        s.join(notes, F.col("__ship") == F.col("__parent"), "left")
-        .join(customs, F.col("__ship") == F.col("__customs_ship"), "left")
+        fanout_left_join(s, customs, [("__ship", "__customs_ship")])
+        .join(notes, F.col("__ship") == F.col("__parent"), "left")
         .join(costs, F.col("__serial") == F.col("_ship_serial"), "left")
         .drop("__parent", "__customs_ship", "_ship_serial")
     )

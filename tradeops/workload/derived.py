@@ -98,8 +98,8 @@ def _transactions(account: str, kind: str) -> str:
     """One ledger side: a document per order, its rows by line number."""
     return f"""
 select
-  case when l_linenumber = 7 then co else ac end as {account},
-  case when l_linenumber = 7 then ac else co end as company,
+  case when mirrored then co else ac end as {account},
+  case when mirrored then ac else co end as company,
   case when l_orderkey % 13 = 0 then null
        when l_linenumber = 6 then co || '-CN-' || cast(l_orderkey as string)
        when l_orderkey % 3 = 0 then co || '-FTI-' || cast(l_orderkey as string)
@@ -117,7 +117,7 @@ select
   case when l_linenumber = 6 then 'VCH' || cast(l_orderkey as string) end as last_settlement_voucher
 from (select *,
         case when l_orderkey % 10 = 9 then 'EXT' || cast(l_orderkey as string) else 'E' || cast(l_orderkey % 8 as string) end as ac,
-        'E' || cast((l_orderkey + 1) % 8 as string) as co
+        'E' || cast((l_orderkey + 1) % 8 as string) as co, l_linenumber = 7 and l_orderkey % 10 <> 9 as mirrored
       from @lineitem) t
 """
 

@@ -50,6 +50,7 @@ from ..plans.po_lines import line_units, master_rows, order_lines, po_line_view,
 from ..plans.sla import country_sla as sla_by_country
 from ..plans.sla import supplier_sla as sla_by_supplier
 from ..plans.tracking import CHARGE_FX_DATE, CUSTOMS_FX_DATE
+from ..sources.staging import staged
 from . import freight_sql as twin
 from .base import AS_OF, query
 
@@ -189,7 +190,7 @@ def status_machine(t):
 
 
 def _tracked(t):
-    return tracked_links(t, order_lines(t), line_units(t), as_of_date(AS_OF))
+    return tracked_links(t, order_lines(t), staged(line_units(t), "line-units"), as_of_date(AS_OF))
 
 
 _LINK = "l:__line,_line_no,_freight_unit_id n2:_shipped"
