@@ -261,5 +261,6 @@ def test_staging_uses_the_configured_folder(spark):
         conf = Conf()
 
     assert staging_root(Session()) == "shared://folder"
-    # Unset, as here, the session's own checkpoint folder serves.
-    assert staging_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+    # Where nothing is configured, the session's own checkpoint folder serves.
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert staging_root(spark) == named.rstrip("/")

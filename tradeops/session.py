@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     # join's partitioning; one more shuffle is cheaper than one endless task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM leaves methods above 8000 bytes of code uncompiled. Fused stages
+    # beyond that (the wide reports) run as separate operators instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

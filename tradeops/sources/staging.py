@@ -26,10 +26,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage for every branch that follows, survives the loss of
-    executors, and lets each branch read only the columns it needs.
+    executors, and lets each branch read only the columns it needs. The folder
+    carries the application id, so a finished application's stages can be
+    dropped together.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/tradeops/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/tradeops/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
