@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.payload import payload_or_plan, safe_day
+from ..functions.payload import payload_or_plan
 from ..functions.text import joined, part
-from .grouping import lookup_table, text_list, times
+from .grouping import times
 
 LAND_PORT = "Jebel Ali"  # fixed value: the one land gateway
 UNKNOWN_PLACE = "TBA"  # fixed value: placeholder for places not yet known
@@ -193,16 +193,6 @@ def cargo_ready_estimates(details: DataFrame) -> DataFrame:
     )
 
 
-def line_notes(df: DataFrame, key: str, column: str, sep: str = " | ") -> DataFrame:
-    return text_list(df, [key], column, sep, column, distinct=True)
-
-
 def transit_master(times_: DataFrame) -> DataFrame:
     return times_.select(F.col("code").alias("__country"), F.col("average_transit_time").alias("_country_lead_time"))
 
-
-__all__ = [
-    "LAND_PORT", "UNKNOWN_PLACE", "cargo_ready_estimates", "carrier_codes", "carrier_lookup", "country_names",
-    "destination_place", "distinct_links", "inner_quantity_text", "labelled_documents", "line_notes", "lookup_table",
-    "origin_place", "payload_arms", "places", "resolve_payload", "safe_day", "transit_master",
-]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_upper, flag_set, name_key, squeeze, title_words
 from ..operators.access import any_of_join, codes_of, every_pair, linked_pairs
-from ..operators.grouping import lookup_table
 from ..operators.ranking import dense_ids
 
 OFFICE_CODE_LENGTH = 5  # fixed value
@@ -74,5 +73,3 @@ def sales_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
     everyone = tables["sales_global_entitlement"].select(F.col("name").alias("_user"), F.col("email").alias("_email"))
     return local.unionByName(every_pair(ids.select("_id"), everyone))
 
-
-__all__ = ["ic_entitlements", "login_entitlements", "lookup_table", "office_codes", "sales_entitlements"]

@@ -180,5 +180,3 @@ def portal_users(tables: Mapping[str, DataFrame], internal_domain: str, admin_ro
         F.col("__org_name").alias("name"),
     )
 
-
-__all__ = ["ocr_state", "packing_list_tracker", "portal_users", "tracked_shipments", "upload_delay"]

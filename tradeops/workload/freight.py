@@ -548,5 +548,3 @@ def text_lists(t):
     first = lookup_table(c, "c_mktsegment", ["c_custkey"]).select(F.col("c_mktsegment").alias("k2"), F.col("c_custkey").alias("biggest"))
     return nations.join(balances, F.col("c_mktsegment") == F.col("k"), "left").join(first, F.col("c_mktsegment") == F.col("k2"), "left")
 
-
-__all__ = ["kinds"]
