@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from .sources.staging import staging_root
+
 # Runtime settings only: they can be applied to a session somebody else built.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -45,6 +45,5 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradeops-ckpt-"))
+    staging_root(spark)
     return tune(spark)

@@ -9,29 +9,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (or ``setCheckpointDir``).
 
-    Only where nothing is configured, as in local tests, a fresh folder is made.
+    A session on one machine that names none gets a fresh folder. On a cluster a
+    folder of one machine would lose rows without an error, so there it is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("staging needs a folder that all machines share: set spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="tradeops-stage-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """Run ``df`` now, write it once as Parquet in the shared folder and read it back.
 
     Cuts the lineage for every branch that follows, survives the loss of
     executors, and lets each branch read only the columns it needs. The folder
     carries the application id, so a finished application's stages can be
-    dropped together.
+    dropped together (``drop_stages``).
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/tradeops/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{_application_root(spark)}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete everything this application has staged; results that still read it break."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _application_root(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/tradeops/{spark.sparkContext.applicationId}"
