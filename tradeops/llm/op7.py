@@ -1,0 +1,24 @@
+"""Query op7: quality of all documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import quality
+from .common import bounded_batches
+from .labelled import FOLD, FOLDS
+from .language_id import held_out
+
+NAME = "op7_quality_classifier"
+LIMIT = 0.3
+SQL = None  # a fitted discriminant has no SQL form; tests check densities by brute force and held-out accuracy
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = bounded_batches(spark).read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model, share = quality.learn(docs, labels)
+    rows = docs.select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "text")
+    scored = quality.with_quality(rows, model, share)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
