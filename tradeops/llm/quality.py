@@ -118,8 +118,9 @@ def fit(x: np.ndarray, y: np.ndarray, share: float) -> Discriminant | None:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[Discriminant | None, float]:
     texts, classes, share = training_sample(docs, labels, label, SAMPLE, LONGEST)
-    x = np.array([statistics(t) for t in texts]).reshape(len(texts), -1)
-    return fit(x, np.array(classes), share), share if texts else 0.5
+    if not texts:
+        return None, 0.5
+    return fit(np.array([statistics(t) for t in texts]), np.array(classes), share), share
 
 
 def with_quality(df: DataFrame, model: Discriminant | None, share: float, text: str = "text", score: str = "score") -> DataFrame:
