@@ -74,11 +74,10 @@ def test_query(spark):
     assert n <= 1.05 * sum(r["length"] for r in rows) / 1024 + 1
 
 
-def test_odd_rows(spark, monkeypatch):
-    monkeypatch.setattr(packing, "CHUNK", 3)  # many chunks for each length
+def test_odd_rows(spark):
     texts = [(1, None), (1, None), (None, ""), (2, "x <|endoftext|> y"), (3, "word " * 1023), (4, "word " * 1024), (5, "a b " * 9000), *((i, "same") for i in range(10, 40))]
     df = spark.createDataFrame([(d, t, 0) for d, t in texts], "doc_id long, text string, length int")
-    check(packing.pack_documents(df, tokenizer_path()).collect(), texts)
+    check(packing.pack_documents(df.repartition(7), tokenizer_path()).collect(), texts)
 
 
 def test_empty(spark):

@@ -3,8 +3,9 @@
 The pieces of a corpus are known by their lengths, of which there are at most ``size``. So the whole plan is made from
 the histogram of lengths (at most ``size`` numbers, however large the corpus): single, pair and triple sums that exactly fill
 the gap beside a length are used up under their availability counts, and what remains goes best-fit, longest first. Each step
-uses up a length or a group of equal bins, so the plan too is bounded by ``size``. Pieces of one length are then numbered
-in bounded chunks, and number and plan give sequence and offset; no piece meets the others of its sequence.
+uses up a length or a group of equal bins, so the plan too is bounded by ``size``. Each task numbers its pieces of a
+length as it makes them, the tasks' counts give where its numbers start, and number and plan give sequence and offset: no
+piece meets the others of its length or sequence, and none is sorted.
 
 Defined cases: a null text is an empty one and consists of the end token alone; repeated rows are packed like any other;
 empty input gives no row; documents longer than ``size`` are cut so that only the first piece may be shorter.
@@ -17,6 +18,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,6 @@ from pyspark.sql import functions as F
 from ..sources.staging import staged
 from .byte_pairs import PIECES, byte_pairs
 
-CHUNK = 200_000  # pieces numbered in one window partition, on average
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> tiktoken.Encoding:
@@ -47,13 +47,18 @@ def cut(ids: list[int], size: int) -> Iterator[tuple[int, int, int, int]]:
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_token: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): each document's ids and ``end_token``, cut to at most ``size``."""
+    """(doc_id, piece, start, length, ids_crc32, place): each document's ids and ``end_token``, cut to at most ``size``.
+
+    ``place`` counts the pieces of a length within a task.
+    """
 
-    @F.pandas_udf("array<struct<piece:int, start:bigint, length:bigint, ids_crc32:bigint>>")
+    @F.pandas_udf("array<struct<piece:int, start:bigint, length:bigint, ids_crc32:bigint, place:bigint>>")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = encoder(tokenizer).encode
+        places = [count() for _ in range(size + 1)]
         for batch in batches:
-            yield pd.Series([list(cut([*encode(t, allowed_special="all"), end_token], size)) for t in batch], dtype=object)
+            cuts = (cut([*encode(t, allowed_special="all"), end_token], size) for t in batch)
+            yield pd.Series([[(*piece, next(places[piece[2]])) for piece in pieces] for pieces in cuts], dtype=object)
 
     return docs.select("doc_id", F.inline(pieces(F.coalesce("text", F.lit("")))))
 
@@ -115,35 +120,35 @@ def best_fit_patterns(left: np.ndarray, size: int) -> list[Pattern]:
     gaps: list[int] = []  # sorted, those with bins
     bins: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}
 
-    def put(runs: tuple[tuple[int, int], ...], count: int) -> None:
+    def put(runs: tuple[tuple[int, int], ...], many: int) -> None:
         gap = size - sum(x * k for x, k in runs)
         if gap not in bins:
             insort(gaps, gap)
             bins[gap] = []
-        bins[gap].append((runs, count))
+        bins[gap].append((runs, many))
 
     def take(least: int) -> tuple[tuple[tuple[int, int], ...], int, int] | None:
         at = bisect_left(gaps, least)
         if at == len(gaps):
             return None
         gap = gaps[at]
-        runs, count = bins[gap].pop()
+        runs, many = bins[gap].pop()
         if not bins[gap]:
             del bins[gap], gaps[at]
-        return runs, count, gap
+        return runs, many, gap
 
     for x in range(size, 0, -1):
         todo = int(left[x])
         while todo:
-            runs, count, gap = take(x) or ((), todo, size)
+            runs, many, gap = take(x) or ((), todo, size)
             each = min(gap // x, todo)
-            used = min(count, todo // each)
+            used = min(many, todo // each)
             put((*runs, (x, each)), used)
             todo -= used * each
-            if runs and count > used:
-                put(runs, count - used)
+            if runs and many > used:
+                put(runs, many - used)
         left[x] = 0
-    return [Pattern(runs, count) for groups in bins.values() for runs, count in groups]
+    return [Pattern(runs, many) for groups in bins.values() for runs, many in groups]
 
 
 def plan(histogram: dict[int, int], size: int) -> list[Pattern]:
@@ -172,39 +177,28 @@ def _slots(patterns: list[Pattern]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def numbered(pieces: DataFrame, total: int) -> DataFrame:
-    """``pieces`` (with unique ``uid``) and ``number``: 0, 1, ... within each length, counted in chunks."""
-    chunks = -(-total // CHUNK) or 1
-    pieces = pieces.withColumn("chunk", F.pmod(F.xxhash64("uid"), F.lit(chunks)))
-    before = W.partitionBy("length").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    sums = (
-        pieces.groupBy("length", "chunk")
-        .count()
-        .withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        .drop("count")
-    )
-    place = F.row_number().over(W.partitionBy("length", "chunk").orderBy("uid")) - 1
-    return pieces.withColumn("place", place).join(sums, ["length", "chunk"]).withColumn("number", F.col("base") + F.col("place"))
-
-
 def pack(pieces: DataFrame, size: int) -> DataFrame:
-    """``pieces`` (with ``length`` from 1 to ``size``) and their ``sequence_id`` and ``offset``."""
-    given = pieces.columns
-    pieces = staged(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``size`` rows
+    """``pieces`` (with ``length`` from 1 to ``size`` and ``place``) and their ``sequence_id`` and ``offset``."""
+    given = [c for c in pieces.columns if c != "place"]
+    pieces = staged(pieces.withColumn("task", F.spark_partition_id()), "pieces")
+    counts = pieces.groupBy("length", "task").count()
+    before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    bases = counts.withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    bases = staged(bases, "bases")
+    histogram = {r["length"]: r["n"] for r in bases.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # <= size rows
     slots = _slots(plan(histogram, size))
     keys = slots[:, 0] << 48 | slots[:, 1]
 
     @F.pandas_udf("sequence_id bigint, offset bigint")
-    def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:
+    def slot(length: pd.Series, number: pd.Series) -> pd.DataFrame:
         number = number.to_numpy()
         at = np.searchsorted(keys, length.to_numpy() << 48 | number, side="right") - 1
         x, first, each, sequence, offset = slots[at].T
         nth = number - first
         return pd.DataFrame({"sequence_id": sequence + nth // each, "offset": offset + nth % each * x})
 
-    out = numbered(pieces, sum(histogram.values())).withColumn("slot", place("length", "number"))
-    return out.select(*given, "slot.sequence_id", "slot.offset")
+    numbered = pieces.join(bases.drop("count"), ["length", "task"])
+    return numbered.withColumn("slot", slot("length", F.col("base") + F.col("place"))).select(*given, "slot.sequence_id", "slot.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_token: int = 2) -> DataFrame:
