@@ -1,5 +1,78 @@
-ORACLE_SQL = None
+"""A corpus pipeline over ``documents``: each stage reads what the one before kept and writes what it keeps.
 
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns the columns of ``documents``, the last one
+the packed pieces. ``run`` applies them in order, writing each result as Parquet below the shared folder and reading it again.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradeops.llm import language_id
+from tradeops.llm.common import bounded_batches, tokenizer_path
+from tradeops.llm.decontamination import contaminated
+from tradeops.llm.jaccard_join import near_duplicates
+from tradeops.llm.line_dedup import dedup_lines
+from tradeops.llm.packing import pack_documents
+from tradeops.sources.staging import staged
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LEAST_SCORE = 0.3  # of the pooled language probability; below, no language has even a third of the text
+SHINGLE, SIMILARITY = 5, 80
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    return df.select(*COLUMNS)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: no text, no letter, or no language that is likely."""
+    docs = _documents(docs)
+    named = language_id.with_language(docs, language_id.document_languages(docs), label="_label", score="_score")
+    return _documents(named.where((F.col("_label") != language_id.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)))
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated chunks of lines out of texts; drops documents of which nothing is left."""
+    cleaned = dedup_lines(_documents(docs)).where((F.col("removed_lines") == 0) | (F.trim("text") != ""))
+    changed = F.col("removed_lines") > 0
+    return _documents(cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))))
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id of each group of near duplicates, and everything that is alone."""
+    docs = _documents(docs)
+    groups = near_duplicates(docs, SHINGLE, SIMILARITY).where("n_shingles > 0 and doc_id <> component_id")
+    return _documents(docs.join(groups.select("doc_id").distinct(), "doc_id", "left_anti"))
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    docs = _documents(docs)
+    hits = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return _documents(docs.join(hits.select(F.col("doc_id").alias("_hit")), docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences."""
+    return pack_documents(_documents(docs), tokenizer_path())
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("line dedup", remove_repeated_lines),
+    ("n-gram Jaccard join", remove_near_duplicates),
+    ("benchmark decontamination", remove_benchmark),
+    ("best-fit packing", pack),
+]
+
+ORACLE_SQL = None  # a trained network, a random projection and a tokenizer have no SQL form; tests compare stage by stage
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
