@@ -28,7 +28,7 @@ AUX_CLASS = "Ancillary Charge"
 
 def first_invoice_id(c: Column | str) -> Column:
     """First id of a '12.0,13.0' list; every '.0' is stripped, blanks give NULL."""
-    return F.replace(part(c, ",", 1), F.lit(".0"), F.lit("")).try_cast("int")
+    return F.replace(part(c, ",", 1), F.lit(".0"), F.lit("")).try_cast("bigint")
 
 
 def charge_lines(

@@ -140,7 +140,8 @@ def tracked_links(tables: Mapping[str, DataFrame], lines: DataFrame, units: Data
     df = (
         links.join(companies, F.col("purchase_order_company_id") == F.col("__company"))
         .join(lines, F.col("purchase_order_id") == F.col("__line"), "left")
-        .join(facts, (F.col("_freight_unit_id") == F.col("__unit")) & F.col("__dom").eqNullSafe(F.col("__domain")))
+        # Null-safe on both keys: a link without a unit has its (empty) facts too, and stays.
+        .join(facts, F.col("_freight_unit_id").eqNullSafe(F.col("__unit")) & F.col("__dom").eqNullSafe(F.col("__domain")))
     )
     return df.withColumns(stage_lights(as_of))
 

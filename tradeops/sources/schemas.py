@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 MONEY = "decimal(38,6)"
+RATE = "decimal(28,12)"  # rates keep more places than amounts
 
 SCHEMAS: dict[str, str] = {
     # purchase orders and freight
@@ -37,19 +38,19 @@ SCHEMAS: dict[str, str] = {
         destination_country string, line_of_business string, documentation_user_name string,
         operations_user_name string""",
     "cost_revenue_items": f"""shipment_id bigint, iss_domain string, currency string, charge_name string,
-        selling_rate {MONEY}, selling_quantity {MONEY}, selling_local_exchange_rate {MONEY}, extra_info string,
+        selling_rate {MONEY}, selling_quantity {MONEY}, selling_local_exchange_rate {RATE}, extra_info string,
         customer_invoice_id string""",
     "domain_currency": "iss_domain string, currency string",
-    "snapshot_rates": f"cur2 string, d date, exchange_rate {MONEY}",
+    "snapshot_rates": f"cur2 string, d date, exchange_rate {RATE}",
     "charge_service_mapping": "service string, charge string, status string, category string",
-    "issued_invoices": "id int, iss_domain string, serial_no string, issue_date date, voided int",
+    "issued_invoices": "id bigint, iss_domain string, serial_no string, issue_date date, voided int",
     "issued_credit_notes": f"id bigint, iss_domain string, serial_no string, total {MONEY}",
     "attachments": """id bigint, parent_id bigint, parent_type string, label string, uploaded int,
         shared_with_customer boolean, iss_domain string, name string, created_at timestamp, created_by string""",
     "customs": f"""shipment_id bigint, bill_of_entry_date date, declaration_currency string,
         declaration_type string, declaration_value {MONEY}""",
-    "customs_rates": f"""cost_exchange_rate string, selling_exchange_rate string, from_rate {MONEY},
-        to_rate {MONEY}, created_at timestamp""",
+    "customs_rates": f"""cost_exchange_rate string, selling_exchange_rate string, from_rate {RATE},
+        to_rate {RATE}, created_at timestamp""",
     # ledger and intercompany
     "journal_accruals": f"""voucher string, dataarea string, counterparty string, mainaccount int,
         accountingdate timestamp, transactioncurrencyamount {MONEY}, transactioncurrencycode string,
@@ -77,7 +78,7 @@ SCHEMAS: dict[str, str] = {
         customer_accounting_id string, tax_id string""",
     "journal": f"""accountingdate timestamp, jobmaster string, name string, mainaccount int,
         accountingcurrency string, accountingcurrencyamount_inv {MONEY}, reportingcurrencyamount_inv {MONEY}""",
-    "fx_daily": f"fromcurrency string, tocurrency string, startdate timestamp, exrate {MONEY}",
+    "fx_daily": f"fromcurrency string, tocurrency string, startdate timestamp, exrate {RATE}",
     "account_manager_changes": "contact_id bigint, new_account_manager string, changed_at timestamp",
     "budget_sales": "sales_user string",
     "crm_users": "name string, email string, iss_domain string, active int",

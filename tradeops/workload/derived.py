@@ -91,7 +91,7 @@ _ARRAYS = (
 )
 
 _OWN = _object("x", "'1'", {"serial_no": "case when id % 4 = 0 then null else 'SH' || cast(top_order as string) end", **_PAYLOAD_FIELDS}, _ARRAYS)
-_REMOTE = _object("x", "'2'", {"serial_no": "'SH' || cast(top_order % 1000 as string)", **_PAYLOAD_FIELDS}, _ARRAYS)
+_REMOTE = _object("x", "'2'", {"serial_no": "'SH' || cast(top_order - top_order % 3 as string)", **_PAYLOAD_FIELDS}, _ARRAYS)
 
 
 def _transactions(account: str, kind: str) -> str:
@@ -122,10 +122,11 @@ from (select *,
 """
 
 
-# Unique id of a line: its keys and ship day packed into one integer.
+# Id of a line. An order may list a line number several times: the other keys are mixed into 24 bits below the number, so
+# ids stay inside a bigint for order keys up to 10^10.
 _LINE_ID = (
-    "((((l_orderkey * 10 + l_linenumber) * 20000 + l_partkey) * 1000 + l_suppkey) * 4096"
-    " + (year(l_shipdate) - 1995) * 372 + month(l_shipdate) * 31 + day(l_shipdate))"
+    "((l_orderkey * 8 + l_linenumber) * 16777216"
+    " + (l_partkey * 7919 + l_suppkey * 104729 + (year(l_shipdate) * 372 + month(l_shipdate) * 31 + day(l_shipdate)) * 613) % 16777213)"
 )
 
 DERIVED: dict[str, str] = {
@@ -201,10 +202,10 @@ select case when n_nationkey % 3 = 0 then ' seller  ' else 'seller  ' end || cas
 from @nation
 union all
 select 'mgr ' || cast(n_regionkey as string), 'alt' || cast(n_nationkey as string) || '@mail.example', 'd0', cast(1 as int)
-from @nation where n_nationkey < 8
+from @nation
 """,
-    "sales_global_entitlement": "select lower(r_name) as name, upper(r_name) || '@ALL.EXAMPLE' as email from @region where r_regionkey < 3",
-    "login_local_entitlement": "select 'USER' || cast(n_nationkey as string) || '@mail.example' as email from @nation where n_nationkey < 12",
+    "sales_global_entitlement": "select lower(r_name) as name, upper(r_name) || '@ALL.EXAMPLE' as email from @region",
+    "login_local_entitlement": "select case when n_nationkey % 2 = 0 then 'USER' else 'GUEST' end || cast(n_nationkey as string) || '@mail.example' as email from @nation",
     "domain_catalog": "select 'd' || cast(n_nationkey as string) as iss_domain from @nation",
     # ---- ledger
     "journal_accruals": """
@@ -223,15 +224,15 @@ from @orders
     "customer_transactions": _transactions("customer_account", "Customer"),
     "branch_domain": """
 select 'E' || cast(n_nationkey as string) as company, 'd' || cast(n_nationkey as string) as iss_domain from @nation where n_nationkey <> 5
-union all select 'E' || cast(n_nationkey as string), 'b' || cast(n_nationkey as string) from @nation where n_nationkey < 4
+union all select 'E' || cast(n_nationkey as string), 'b' || cast(n_nationkey as string) from @nation
 """,
-    "global_entitlement": "select lower(r_name) || '@all.example' as email from @region where r_regionkey < 2",
+    "global_entitlement": "select lower(r_name) || '@all.example' as email from @region",
     "office_entitlement": """
 select 'user' || cast(n_nationkey as string) || '@mail.example' as email, 'e' || cast(n_nationkey % 10 as string) as office
 from @nation union all select 'user1@mail.example', 'e1' from @region where r_regionkey = 0
 """,
     "issued_invoices": """
-select cast(o_orderkey as int) as id, 'd' || cast((o_orderkey + 1) % 8 as string) as iss_domain,
+select o_orderkey as id, 'd' || cast((o_orderkey + 1) % 8 as string) as iss_domain,
   case when o_orderkey % 17 = 0 then null
     else 'E' || cast((o_orderkey + 1) % 8 as string) || case when o_orderkey % 3 = 0 then '-FTI-' else '-INV-' end || cast(o_orderkey as string) end as serial_no,
   cast(o_orderdate as date) as issue_date, cast(case when o_orderkey % 14 = 0 then 1 else 0 end as int) as voided
@@ -285,10 +286,10 @@ union all select 'EUR', date '2025-03-12', 9.0 from @region where r_regionkey =
 """,
     "charge_service_mapping": """
 select case n_nationkey % 3 when 0 then 'Sea_inbound' when 1 then 'AIR_outbound' else 'land_inbound ' end as service,
-  case floor(n_nationkey / 3) when 0 then 'PICKUP' when 1 then 'Handling' when 2 then 'FREIGHT ' else 'Inspection' end as charge,
+  case floor(n_nationkey / 3) when 0 then 'PICKUP' when 1 then 'Handling' when 2 then 'FREIGHT ' when 3 then 'Inspection' else 'extra ' || cast(n_nationkey as string) end as charge,
   case when n_nationkey = 8 then 'Retired' else 'Active' end as status,
   case floor(n_nationkey / 3) when 0 then 'Origin Charge' when 1 then 'Destination Charge' when 2 then 'Freight Charge' else 'Ancillary Charge' end as category
-from @nation where n_nationkey < 12
+from @nation
 """,
     "customs": """
 select o_orderkey as shipment_id, case when o_orderkey % 9 = 0 then null else cast(o_orderdate as date) end as bill_of_entry_date,
@@ -309,14 +310,14 @@ select c_custkey as id, lower(c_name) as name, case c_custkey % 10 when 0 then '
   cast(c_custkey % 7 as bigint) as organization_id
 from @customer
 """,
-    "companies_on_users": "select c_custkey as user_id, c_custkey % 90 as company_id from @customer where c_custkey % 8 <> 0 union all select c_custkey, c_custkey % 60 from @customer where c_custkey % 20 = 1",
-    "company": "select s_suppkey as id, case when s_suppkey % 25 = 3 then null else lower(s_name) end as name, s_suppkey * 3 as ext_id from @supplier where s_suppkey < 90",
+    "companies_on_users": "select c_custkey as user_id, cast(floor(c_custkey / 15) as bigint) as company_id from @customer where c_custkey % 8 <> 0 union all select c_custkey, cast(floor(c_custkey / 20) as bigint) from @customer where c_custkey % 20 = 1",
+    "company": "select s_suppkey as id, case when s_suppkey % 25 = 3 then null else lower(s_name) end as name, s_suppkey * 3 as ext_id from @supplier",
     "company_branch": "select s_suppkey as company_id, 'Branch ' || cast(s_nationkey as string) as name, lower(n_name) as country, 'city' || cast(s_nationkey as string) as city from @supplier join @nation on s_nationkey = n_nationkey where s_suppkey % 4 <> 0 union all select s_suppkey, 'Second', 'land', 'town' from @supplier where s_suppkey % 6 = 1",
     "organization": "select cast(r_regionkey as bigint) as id, r_name as name from @region",
-    "user_login_history": "select user_id from @events where event_type in ('signup', 'click') and user_id % 3 <> 0 union all select event_id % 1500 from @events where event_type = 'view' and event_id % 1500 > 150",
+    "user_login_history": "select user_id from @events where event_type in ('signup', 'click') and user_id % 3 <> 0 union all select cast(floor(event_id / 7) as bigint) from @events where event_type = 'view' and event_id % 10 <> 0",
     "shipments_tracker": "select case when l_linenumber = 7 then null else 'SH' || cast(l_orderkey as string) end as serial_no, l_shipdate as creation_date from @lineitem where l_orderkey % 5 <> 0",
     "ocr_log": """
-select 'SH' || cast(event_id % 1499 as string) as serial_number,
+select 'SH' || cast(cast(floor(event_id / 2) as bigint) as string) as serial_number,
   case when event_type in ('click', 'purchase') then '{"serial_number":"S' || cast(event_id as string) || '"}' else '{"other":1}' end as request_payload,
   case when event_type = 'error' then null else props end as ocr_payload,
   ts as created_at, case when event_id % 4 = 0 then null else ts + interval '1' minute * cast(event_id % 70000 as int) end as ocr_at,
@@ -347,7 +348,8 @@ select {_LINE_ID} as id,
 from @lineitem join @part on l_partkey = p_partkey
 """,
     "purchase_order_on_freight_unit": f"""
-select {_LINE_ID} as purchase_order_id, l_suppkey * 100 + (year(l_shipdate) - 1995) * 12 + month(l_shipdate) as freight_unit_id,
+select {_LINE_ID} as purchase_order_id,
+  case when l_partkey % 41 <> 7 then l_suppkey * 100 + (year(l_shipdate) - 1995) * 12 + month(l_shipdate) end as freight_unit_id,
   'U' || cast(l_suppkey * 100 + (year(l_shipdate) - 1995) * 12 + month(l_shipdate) as string) as freight_unit_no,
   l_suppkey % 25 as purchase_order_company_id,
   case when l_partkey % 3 = 0 then l_quantity else floor(l_quantity / 2) end as quantity
@@ -393,7 +395,7 @@ union all select 'N2', 'aa', 'Iso NATION_2', 'd2' from @region where r_regionkey
 """,
     "supplier_lead_time": "select cast(s_suppkey as string) as supplier_id, 'SUPPLIER ' || cast(s_suppkey as string) as supplier_name, cast(10 + s_suppkey % 40 as int) as avg_lead_time from @supplier where s_suppkey % 10 <> 3",
     "country_transit_time": "select 'N' || cast(n_nationkey as string) as code, cast(12 + n_nationkey as int) as average_transit_time from @nation where n_nationkey % 6 <> 5",
-    "carrier_shipping": "select 'CA' || cast(n_nationkey as string) as carrier_scac, 'Carrier ' || n_name as name, split('CA' || cast(n_nationkey as string) || ',CX' || cast(n_nationkey as string), ',') as all_scacs from @nation where n_nationkey < 7",
+    "carrier_shipping": "select 'CA' || cast(n_nationkey as string) as carrier_scac, 'Carrier ' || n_name as name, split('CA' || cast(n_nationkey as string) || ',CX' || cast(n_nationkey as string), ',') as all_scacs from @nation",
     "shipment_details": """
 select '{"serial_no":"FO' || cast(id as string) || '"}' as shipment_details,
   '[{"status":"Estimated Cargo Date","date":"' || cast(base_day as string) || '"},{"status":"Other","date":"2030-01-01"},{"status":"Estimated Cargo Date","date":"'
