@@ -16,7 +16,8 @@ from tradeops.operators.access import any_of_join, apply_entitlements, codes_of,
 from tradeops.operators.daygrain import as_of_join, previous_day, trailing_max
 from tradeops.operators.grouping import attach_totals, fanout_left_join, in_any, lookup_table, text_list
 from tradeops.operators.orders import collapse_by_primary
-from tradeops.operators.ranking import chunked_row_number, dense_ids, id_chunks
+from tradeops.operators.ranking import dense_ids, row_numbers
+from tradeops.sources.staging import staged
 
 
 def rows(df):
@@ -38,19 +39,38 @@ def test_attach_totals_equals_window(spark):
     assert rows(got.select("id", "k", "v", "n", "s")) == rows(want)
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_chunked_row_number_equals_window(spark, width):
+@pytest.mark.parametrize("width", [1, 7])
+def test_row_numbers_equal_window(spark, width):
     data = hot(400, seed=width)
     df = spark.createDataFrame(data, "id long, k string, v long")
-    got = chunked_row_number(df, ["k"], [id_chunks("v", width), ("__v", F.col("v")), id_chunks("id", width)], ["v", "id"], "n")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    got = row_numbers(df, ["k"], ["v", "id"], "n")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("long"))
     assert rows(got.select("id", "k", "v", "n")) == rows(want)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
-def test_row_number_puts_nulls_last(spark):
+def test_row_numbers_put_nulls_last(spark):
     df = spark.createDataFrame([("a", None), ("a", 5), ("a", 2)], "k string, id long")
-    got = chunked_row_number(df, ["k"], [id_chunks("id", 3)], ["id"], "n")
-    assert {(r.id, r.n) for r in got.collect()} == {(2, 1), (5, 2), (None, 3)}
+    assert {(r.id, r.n) for r in row_numbers(df, ["k"], ["id"], "n").collect()} == {(2, 1), (5, 2), (None, 3)}
+
+
+def test_row_numbers_spread_a_hot_group(spark):
+    seen = []
+
+    def stage(df, label):
+        seen.append(staged(df, label))
+        return seen[-1]
+
+    df = spark.range(4000).select("id", F.lit("one order").alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = row_numbers(df, ["k"], ["id"], "n", stage)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in seen[0].groupBy("__range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
+    assert got.where(F.col("n") != F.col("id") + 1).count() == 0
+    ids = dense_ids(df.select(F.col("id").cast("string").alias("k")), "k", "n")
+    assert "SinglePartition" not in ids._jdf.queryExecution().toString()
 
 
 def test_dense_ids_follow_name_order(spark):

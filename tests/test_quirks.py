@@ -217,6 +217,25 @@ def test_line_view_has_one_master_per_line_and_no_final_date(spark):
     assert fixed["_final_expected_del_date"] == dt.date(2024, 5, 4)
 
 
+def test_links_without_a_unit_stay_and_ids_are_unique(spark):
+    links = [
+        {"purchase_order_id": 1, "freight_unit_id": u, "purchase_order_company_id": 1, "quantity": money(q)} for u, q in ((9, 4), (None, 9))
+    ]
+    t = tables(
+        spark, **FREIGHT | {"purchase_order_on_freight_unit": links},
+        supplier_lead_time=[{"supplier_id": "7", "supplier_name": n, "avg_lead_time": d} for n, d in (("a", 1), ("b", 2))],
+    )
+    got = po_line_view(t, as_of="2024-06-01").collect()
+    shipped = [r for r in got if r["_line_type"] == "Enriched"]
+    assert sorted((r["_freight_unit_id"], float(r["_shipped"])) for r in shipped if r["_freight_unit_id"]) == [(9, 4.0)] * len(
+        [r for r in shipped if r["_freight_unit_id"]]
+    )
+    assert any(r["_freight_unit_id"] is None and float(r["_shipped"]) == 9.0 for r in shipped)
+    # A key with a missing part is missing too: rows without a unit carry none.
+    ids = [r["_line_id"] for r in got if r["_line_id"] is not None]
+    assert len(set(ids)) == len(ids) == len(got) - sum(r["_line_type"] == "Enriched" and r["_fo_serial"] is None for r in got)
+
+
 def test_open_lines_double_for_doubled_supplier_names(spark):
     open_line = LINE | {"id": 4, "po_qty_ordered": "3"}
     t = tables(

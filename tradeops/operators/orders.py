@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.rules import STAGES, pieces_of
 from ..functions.text import choose
 from .grouping import first_row_order, join_groups
-from .ranking import chunked_row_number, id_chunks
+from .ranking import row_numbers
 
 
 def number_lines(lines: DataFrame, po: str = "po_no", line: str = "id", name: str = "_line_no") -> DataFrame:
     """Running number of the lines of an order by line id."""
-    return chunked_row_number(lines, [po], [id_chunks(line)], [line], name)
+    return row_numbers(lines, [po], [line], name)
 
 
 def shipped_quantity(links: DataFrame, key: str = "purchase_order_id", quantity: str = "quantity") -> DataFrame:

@@ -2,70 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
 from .grouping import join_groups
 
 
-def _before(n: str, partition: list[str], order: str) -> Column:
-    """Sum of ``n`` over earlier chunks of the same parent."""
-    w = (
-        Window.partitionBy(*partition)
-        .orderBy(F.col(order).asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return F.coalesce(F.sum(n).over(w), F.lit(0))
-
-
-def chunked_row_number(
-    df: DataFrame,
-    keys: list[str],
-    chunks: list[tuple[str, Column]],
-    order: list[str],
-    name: str,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str, stage=staged) -> DataFrame:
     """`row_number() OVER (PARTITION BY keys ORDER BY order)`, NULLs last.
 
-    ``chunks`` are (column name, expression) pairs from coarse to fine, each
-    monotone in the order and refining the one before, e.g. ``id div 100000``
-    for an order by a unique integer id. A window then never sees more than one
-    chunk's rows, or the finer chunks of one coarser chunk; the group's size no
-    longer matters. Counting per chunk is a partial aggregate.
-    """
-    names = [c for c, _ in chunks]
-    cut = df.withColumns(dict(chunks))
-    level = cut.groupBy(*keys, *names).agg(F.count("*").alias("__n"))
-    levels = []
-    for depth in range(len(names), 0, -1):
-        parent = keys + names[: depth - 1]
-        offset = f"__before{depth}"
-        levels.append((keys + names[:depth], level.withColumn(offset, _before("__n", parent, names[depth - 1])), offset))
-        level = level.groupBy(*parent).agg(F.sum("__n").alias("__n")) if parent else level
-    columns, offsets, last = levels[0]
-    offsets = offsets.drop("__n")
-    total = F.col(last)
-    for parent_columns, table, offset in levels[1:]:
-        offsets = join_groups(offsets, table.select(*parent_columns, offset), parent_columns)
-        total = total + F.col(offset)
-    offsets = offsets.select(*columns, total.alias("__before"))
-    inside = Window.partitionBy(*columns).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    numbered = cut.withColumn("__rank", F.row_number().over(inside))
-    out = join_groups(numbered, offsets, columns)
-    return out.withColumn(name, (F.col("__before") + F.col("__rank")).cast("long")).drop("__before", "__rank", *names)
-
-
-def id_chunks(column: str, width: int = 100_000) -> tuple[str, Column]:
-    """Chunk of a unique integer id: holds at most ``width`` distinct ids."""
-    return f"__chunk_{column}", F.floor(F.col(column) / width)
-
-
-def dense_ids(names: DataFrame, column: str, id_name: str, prefixes: tuple[int, ...] = (4, 8, 16, 32)) -> DataFrame:
-    """Distinct names numbered 1.. in name order.
-
-    The list is deduplicated before it is numbered. Prefixes of growing length
-    serve as chunks, so no window runs over the whole list.
+    Rows are cut into ranges of (keys, order) by sampled quantiles of the actual values, so a hot group spreads over as
+    many ranges as its rows need; the cut is staged, so that counting and numbering see the same ranges. A window then
+    numbers one group's rows of one range, and counts of the ranges before are added. Only rows with equal keys and equal
+    order stay together.
     """
-    distinct = names.select(column).distinct()
-    chunks = [(f"__prefix{n}", F.substring(F.col(column), 1, n)) for n in prefixes]
-    return chunked_row_number(distinct, [], chunks, [column], id_name)
+    given = df.columns
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    ranges = df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in keys], *sort)
+    rows = stage(ranges.withColumn("__range", F.spark_partition_id()), "ranges")
+    counts = rows.groupBy(*keys, "__range").agg(F.count("*").alias("__n"))
+    if keys:
+        earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    else:
+        # One number for each range, of which there are as many as shuffle partitions.
+        total, sums = 0, []
+        for r in sorted(counts.collect(), key=lambda r: r["__range"]):
+            sums.append((r["__range"], total))
+            total += r["__n"]
+        before = rows.sparkSession.createDataFrame(sums, "__range int, __before long")
+    inside = Window.partitionBy(*keys, "__range").orderBy(*sort)
+    numbered = rows.withColumn("__rank", F.row_number().over(inside))
+    out = join_groups(numbered, before, [*keys, "__range"])
+    return out.select(*given, (F.col("__before") + F.col("__rank")).cast("long").alias(name))
+
+
+def dense_ids(names: DataFrame, column: str, id_name: str, stage=staged) -> DataFrame:
+    """Distinct names numbered 1.. in name order; the list is staged, so its users share one numbering."""
+    return stage(row_numbers(names.select(column).distinct(), [], [column], id_name, stage), "ids")

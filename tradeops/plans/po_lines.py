@@ -24,7 +24,7 @@ from ..functions.rules import (
 from ..functions.text import choose, surely_matches, surrogate_key, title_words
 from ..operators.grouping import attach_totals
 from ..operators.orders import balance_pieces, light_rollup, number_lines, shipped_quantity
-from ..operators.ranking import chunked_row_number, id_chunks
+from ..operators.ranking import row_numbers
 from ..sources.staging import staged
 from .tracking import (
     CHARGE_FX_DATE,
@@ -164,15 +164,11 @@ def with_order_delivery(df: DataFrame, as_of) -> DataFrame:
 def with_line_ids(df: DataFrame) -> DataFrame:
     """Surrogate id per shipped row; rows of an order are numbered by line, then unit.
 
-    The numbering only keeps ids apart. It is taken before the lookups, so a
-    lookup that lists a key twice repeats the id.
+    The numbering only keeps ids apart, so it comes behind every join that may repeat a row.
     """
-    df = chunked_row_number(
-        df, ["_po_no_ekporef"],
-        [id_chunks("__line"), ("__chunk_line", F.col("__line")), id_chunks("_freight_unit_id")],
-        ["__line", "_freight_unit_id", "purchase_order_company_id", "_shipped", "_shipment_serial_iss_job"],
-        "__row",
-    )
+    order = ["__line", "_freight_unit_id", "purchase_order_company_id", "_shipped", "_shipment_serial_iss_job",
+             "_supplier_lead_time", "__unit_row"]
+    df = row_numbers(df, ["_po_no_ekporef"], order, "__row")
     dash = F.lit("-")
     key = surrogate_key("_po_no_ekporef", dash, "__line", dash, F.lit("fo shipped"), dash, "_fo_serial", dash, "__row")
     return df.withColumn("_line_id", key).drop("__row")
@@ -183,12 +179,12 @@ def shipped_rows(tables: Mapping[str, DataFrame], tracked: DataFrame, units: Dat
 
     Rules run on narrow rows; the unit's published columns join last.
     """
-    df = with_line_ids(with_order_delivery(tracked, as_of))
+    df = with_order_delivery(tracked, as_of)
     suppliers = tables["supplier_lead_time"].select(
         F.col("supplier_id").try_cast("int").alias("__supplier"), F.col("avg_lead_time").alias("_supplier_lead_time")
     )
     df = df.withColumn("__supplier_no", F.col("_supplier_code").try_cast("int"))
-    df = df.join(suppliers, F.col("__supplier_no") == F.col("__supplier"), "left")
+    df = with_line_ids(df.join(suppliers, F.col("__supplier_no") == F.col("__supplier"), "left"))
     df = with_scores(df, PO_LINES, as_of)
     gaps = F.col("_crd_2_etd") + F.col("_etd_2_eta") + F.col("_eta_2_del") + F.col("_nbd_2_eta") + F.col("_nbd_2_del")
     df = df.withColumns(

@@ -391,11 +391,14 @@ def po_lines_sql(columns: list[str]) -> str:
     )
     return f"""{tracked_sql()},
 {FACTS_SQL}, {PLACES_SQL},
-numbered as (select *, row_number() over (partition by _po_no_ekporef order by pid, _freight_unit_id, link_company, _shipped, _shipment_serial_iss_job nulls last) as rn from lit),
+numbered as (
+  select lit.*, avg_lead_time as _sup_lt, row_number() over (partition by _po_no_ekporef
+    order by pid, _freight_unit_id, link_company, _shipped, _shipment_serial_iss_job nulls last, avg_lead_time nulls last) as rn
+  from lit left join @supplier_lead_time on try_cast(supplier_id as int) = try_cast(_supplier_code as int)),
 x as (
-  select b.*, facts.*, {ENRICHED}, slt.avg_lead_time as _supplier_lead_time, ctt.average_transit_time as _country_lead_time,
+  select b.*, facts.*, {ENRICHED}, b._sup_lt as _supplier_lead_time, ctt.average_transit_time as _country_lead_time,
     case when serial is null then fe.shipping_terms else p_terms end as _incoterms_fo
-  from numbered b {ENRICH_JOINS} left join @supplier_lead_time slt on try_cast(slt.supplier_id as int) = try_cast(_supplier_code as int)
+  from numbered b {ENRICH_JOINS}
   left join @country_transit_time ctt on ctt.code = coalesce(p_ocountry, fe.origin_country)),
 {scores_sql("x", False, "coalesce(_supplier_lead_time, 0) + coalesce(_country_lead_time, 0) + 15", True, "_full_eta", "_full_eta")},
 {ROLLUP_SQL}, {MASTER_SQL},
