@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tradeops.operators.access import any_of_join, apply_entitlements, codes_of, every_pair, linked_pairs
+from tradeops.operators.access import any_of_join, apply_entitlements, codes_of, grants, observed_pairs, viewers
 from tradeops.operators.daygrain import as_of_join, previous_day, trailing_max
 from tradeops.operators.grouping import attach_totals, fanout_left_join, in_any, lookup_table, text_list
 from tradeops.operators.orders import collapse_by_primary
@@ -135,23 +135,25 @@ def test_any_of_join_equals_or(spark, pairs, keys):
     assert got == want
 
 
-def test_every_pair_keeps_left_without_right(spark):
-    left = spark.createDataFrame([("a",), ("b",)], "x string")
-    some = spark.createDataFrame([(1,), (2,), (2,)], "y long")
-    assert len(rows(every_pair(left, some))) == 6
-    assert rows(every_pair(left, some.limit(0), keep_left=True)) == [("a", None), ("b", None)]
+def test_observed_pairs_go_both_ways(spark):
+    docs = spark.createDataFrame([("A", "B"), ("A", "B"), ("C", "C"), ("A", "TOOLONG"), (None, "A")], "x string, y string")
+    assert rows(observed_pairs([(docs, "x", "y", 5)])) == [("A", "B", "A|B|B|A"), ("B", "A", "B|A|A|B"), ("C", "C", "C|C|C|C")]
 
 
-def test_no_operator_plans_a_nested_loop(spark):
-    left = spark.createDataFrame([("a",), ("b",)], "x string")
-    plan = every_pair(left, left.withColumnRenamed("x", "y"))._jdf.queryExecution().toString()
+def test_grants_and_viewers(spark):
+    pairs = spark.createDataFrame([("A", "B"), ("B", "B"), ("C", "D")], "a string, b string")
+    local = spark.createDataFrame([("u", "A"), ("u", "A"), ("v", "B")], "who string, office string")
+    granted = grants(local, spark.createDataFrame([("boss",)], "who string"), "office")
+    assert rows(granted) == [("boss", "*"), ("u", "A"), ("u", "A"), ("v", "B")]
+    assert rows(viewers(pairs, ["a", "b"], granted, "office")) == [("A", "B", 4), ("B", "B", 2), ("C", "D", 1)]
+    assert rows(viewers(pairs, ["a", "b"], local, "office")) == [("A", "B", 3), ("B", "B", 1), ("C", "D", 0)]
+    plan = viewers(pairs, ["a", "b"], granted, "office")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_pairs_and_entitlements(spark):
+def test_codes_and_entitlements(spark):
     one = spark.createDataFrame([("A",), ("B",), ("TOOLONG",)], "c string")
-    pairs = linked_pairs(codes_of([(one, "c", 5), (one, "c", 5)], "n"), "n")
-    assert rows(pairs.select("_link")) == [("A|A|A|A",), ("A|B|B|A",), ("B|A|A|B",), ("B|B|B|B",)]
+    assert rows(codes_of([(one, "c", 5), (one, "c", 5)], "n")) == [("A",), ("B",)]
     facts = spark.createDataFrame([(1, "x"), (2, "y")], "id long, key string")
     granted = spark.createDataFrame([("x",), ("x",)], "key string")
     assert rows(apply_entitlements(facts, granted, ["key"]).select("id")) == [(1,)]

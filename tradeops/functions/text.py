@@ -77,8 +77,9 @@ def captured(c: Column | str, pattern: str) -> Column:
 
 
 def title_words(c: Column | str) -> Column:
-    """Capitalise after white space (hyphens and quotes do not start a word)."""
-    return F.initcap(col(c))
+    """Capitalise every run of letters and digits; what stands between them is kept."""
+    words = F.split(F.lower(col(c)), r"(?<![\p{L}\p{N}])(?=[\p{L}\p{N}])")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), "")
 
 
 def flag_set(c: Column | str) -> Column:

@@ -9,20 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import joined
 
-
-def every_pair(left: DataFrame, right: DataFrame, keep_left: bool = False, spread: int = 32) -> DataFrame:
-    """Each left row with each right row, as an equi-join on a spread key.
-
-    For entitlement lists, whose published result *is* every scope for every
-    global user. Left rows are hashed over ``spread`` slots and right rows
-    copied to each, so neither side is broadcast unchecked and the output is
-    written by many tasks. ``keep_left`` keeps left rows if right is empty.
-    """
-    slots = F.sequence(F.lit(0), F.lit(spread - 1))
-    a = left.withColumn("__slot", F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int"))
-    b = right.withColumn("__slot_r", F.explode(slots))
-    how = "left" if keep_left else "inner"
-    return a.join(b, F.col("__slot") == F.col("__slot_r"), how).drop("__slot", "__slot_r")
+ALL = "*"  # scope of users who see everything
 
 
 def any_of_join(left: DataFrame, columns: list[str], right: DataFrame, key: str) -> DataFrame:
@@ -51,10 +38,33 @@ def link_text(a: Column | str, b: Column | str) -> Column:
     return joined(a, bar, b, bar, b, bar, a)
 
 
-def linked_pairs(codes: DataFrame, name: str) -> DataFrame:
-    """Every ordered pair of offices with its link key."""
-    pairs = every_pair(codes.select(F.col(name).alias("_side_a")), codes.select(F.col(name).alias("_side_b")))
-    return pairs.withColumn("_link", link_text("_side_a", "_side_b"))
+def observed_pairs(sources: list[tuple[DataFrame, str, str, int | None]]) -> DataFrame:
+    """Ordered office pairs that occur in (frame, column, other column, longest code) sources, either way round, with
+    their link key. A pair nobody has a document for is not listed, so the list grows with the documents' distinct pairs."""
+    arms = []
+    for df, one, other, longest in sources:
+        arm = df.select(F.col(one).alias("_side_a"), F.col(other).alias("_side_b")).dropna()
+        arms.append((arm if longest is None else arm.where(F.length("_side_b") <= longest)).distinct())
+    seen = reduce(DataFrame.unionAll, arms)
+    both = seen.unionByName(seen.select(F.col("_side_b").alias("_side_a"), F.col("_side_a").alias("_side_b"))).distinct()
+    return both.withColumn("_link", link_text("_side_a", "_side_b"))
+
+
+def grants(local: DataFrame, everyone: DataFrame, scope: str) -> DataFrame:
+    """One list of who sees what: ``local`` rows with their scope, ``everyone`` with the scope ``ALL``.
+
+    A user who sees everything is one row, not one row for each scope there is.
+    """
+    return everyone.withColumn(scope, F.lit(ALL)).unionByName(local)
+
+
+def viewers(df: DataFrame, columns: list[str], granted: DataFrame, scope: str, name: str = "_viewers") -> DataFrame:
+    """``df`` (distinct rows) with the number of grants that show a row: of the scope of any of its columns, or ``ALL``."""
+    given = df.columns
+    counts = granted.groupBy(F.col(scope).alias("__scope")).agg(F.count("*").alias("__n"))
+    scopes = df.withColumn("__at", F.explode(F.array_distinct(F.array(*columns, F.lit(ALL)))))
+    seen = scopes.join(counts, F.col("__at") == F.col("__scope"), "left")
+    return seen.groupBy(*given).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias(name))
 
 
 def apply_entitlements(df: DataFrame, entitlements: DataFrame, on: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_upper, flag_set, name_key, squeeze, title_words
-from ..operators.access import any_of_join, codes_of, every_pair, linked_pairs
+from ..operators.access import codes_of, grants, observed_pairs
 from ..operators.ranking import dense_ids
 
 OFFICE_CODE_LENGTH = 5  # fixed value
@@ -28,21 +28,28 @@ def office_codes(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def office_pairs(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Pairs of offices that deal with each other, with the key that links both directions."""
+    v, c = tables["vendor_transactions"], tables["customer_transactions"]
+    return observed_pairs(
+        [(v, "company", "vendor_account", OFFICE_CODE_LENGTH), (c, "company", "customer_account", OFFICE_CODE_LENGTH)]
+    )
+
+
 def ic_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Office pair x user: global users see every pair, local users the pairs of
-    their office. Without global users the pairs stay, with a NULL user."""
-    pairs = linked_pairs(office_codes(tables), "_name")
+    """User x office: local users see the pairs of their office, global users those of every office (`*`).
+
+    With ``office_pairs`` this resolves to the pairs a user sees, without listing each pair for each user.
+    """
     everyone = tables["global_entitlement"].select(F.col("email").alias("_email"))
-    local = tables["office_entitlement"].select(F.upper("email").alias("_email"), F.upper("office").alias("__office"))
-    seen_by_all = every_pair(pairs, everyone, keep_left=True)
-    seen_locally = any_of_join(pairs, ["_side_a", "_side_b"], local, "__office").drop("__office")
-    return seen_by_all.unionByName(seen_locally)
+    local = tables["office_entitlement"].select(F.upper("email").alias("_email"), F.upper("office").alias("_office"))
+    known = office_codes(tables).select(F.col("_name").alias("_office"))
+    return grants(local.join(known, "_office", "left_semi").select("_email", "_office"), everyone, "_office")
 
 
 def login_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """User x domain, sorted by user."""
+    """User x domain, sorted by user; global users have the domain `*`."""
     everyone = tables["global_entitlement"].select(F.upper("email").alias("_email"))
-    domains = tables["domain_catalog"].select("iss_domain")
     listed = tables["login_local_entitlement"].select(F.upper("email").alias("__listed")).distinct()
     local = (
         tables["crm_users"]
@@ -50,11 +57,11 @@ def login_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
         .select(F.upper("email").alias("_email"), "iss_domain")
         .join(listed, F.col("_email") == F.col("__listed"), "left_semi")
     )
-    return every_pair(domains, everyone).select("_email", "iss_domain").unionByName(local).orderBy("_email")
+    return grants(local, everyone, "iss_domain").orderBy("_email")
 
 
 def sales_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Sales id x user: every budgeted seller sees the own id, global users all.
+    """Sales id x user: every budgeted seller sees the own id; global users see all, which is one row without an id.
 
     The ids equal those of the gross-profit report: both number the same names.
     """
@@ -70,6 +77,8 @@ def sales_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
         title_words(F.replace(F.col("__key"), F.lit("_"), F.lit(" "))).alias("_user"),
         clean_upper("__mail").alias("_email"),
     )
-    everyone = tables["sales_global_entitlement"].select(F.col("name").alias("_user"), F.col("email").alias("_email"))
-    return local.unionByName(every_pair(ids.select("_id"), everyone))
+    everyone = tables["sales_global_entitlement"].select(
+        F.lit(None).cast("long").alias("_id"), F.col("name").alias("_user"), F.col("email").alias("_email")
+    )
+    return local.unionByName(everyone)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .schemas import SCHEMAS
 
+Columns = Mapping[str, Mapping[str, str]]  # table -> our column name -> the source's
+PARTITIONED = frozenset({"partitionColumn", "lowerBound", "upperBound", "numPartitions"})
+
 
 class Tables(Mapping[str, DataFrame]):
     """Mapping of table name -> DataFrame; a table is opened when first asked for."""
@@ -37,29 +41,47 @@ class Tables(Mapping[str, DataFrame]):
         return cls({n: reader(n) for n in names or SCHEMAS})
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str, renames: Mapping[str, str] | None = None) -> Tables:
-        """Catalog tables; ``renames`` maps our table names to the catalog's."""
+    def from_catalog(
+        cls, spark: SparkSession, database: str, renames: Mapping[str, str] | None = None, columns: Columns | None = None
+    ) -> Tables:
+        """Catalog tables; ``renames`` maps our table names, ``columns`` a table's column names, to the catalog's."""
 
         def reader(name: str) -> Callable[[], DataFrame]:
-            return lambda: spark.read.table(f"{database}.{(renames or {}).get(name, name)}")
+            source = f"{database}.{(renames or {}).get(name, name)}"
+            return lambda: conform(spark.read.table(source), name, (columns or {}).get(name))
 
         return cls({n: reader(n) for n in SCHEMAS})
 
     @classmethod
     def from_jdbc(
         cls, spark: SparkSession, url: str, sources: Mapping[str, str], options: Mapping[str, Mapping[str, str]] | None = None,
-        **connection: str,
+        columns: Columns | None = None, single_read: Collection[str] = (), **connection: str,
     ) -> Tables:
-        """Database tables; ``options[name]`` gives the partitioned-read settings
-        (partitionColumn, lowerBound, upperBound, numPartitions) large tables need."""
+        """Database tables; ``options[name]`` holds the settings of a partitioned read (``PARTITIONED``).
+
+        A table without them would be read by one task; it must be named in ``single_read``.
+        """
+        options = options or {}
+        bare = [n for n in sources if n not in single_read and not PARTITIONED <= set(options.get(n, {}))]
+        if bare:
+            raise ValueError(f"no partitioned read for {', '.join(sorted(bare))}: give {', '.join(sorted(PARTITIONED))}")
 
         def reader(name: str, source: str) -> Callable[[], DataFrame]:
-            extra = {**connection, **(options or {}).get(name, {})}
-            return lambda: spark.read.format("jdbc").options(url=url, dbtable=source, **extra).load()
+            reading = spark.read.format("jdbc").options(url=url, dbtable=source, **connection, **options.get(name, {}))
+            return lambda: conform(reading.load(), name, (columns or {}).get(name))
 
         return cls({n: reader(n, s) for n, s in sources.items()})
 
 
+def conform(df: DataFrame, name: str, columns: Mapping[str, str] | None = None) -> DataFrame:
+    """The declared columns of table ``name`` in their declared types, read from ``columns`` where the source calls them
+    otherwise (``{"serial_no": "Serial No"}``). Text that is not of the type becomes NULL; a missing column is an error."""
+    declared = StructType.fromDDL(SCHEMAS[name])
+    source = columns or {}
+    quoted = {f.name: "`" + source.get(f.name, f.name).replace("`", "``") + "`" for f in declared}
+    return df.select(*[df[quoted[f.name]].try_cast(f.dataType).alias(f.name) for f in declared])
+
+
 def snake(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename quoted source columns ('Serial No') to the declared names, dropping the rest."""
     return df.select(*[df[f"`{old}`"].alias(new) for old, new in names.items()])
