@@ -16,7 +16,7 @@ def brute_kernel(a, b):
         out = {}
         for i, j, k in itertools.combinations(range(len(w)), 3):
             if k - i < svm.REACH:
-                key = tuple(map(svm._code, (w[i], w[j], w[k])))
+                key = tuple(svm._ASCII[ord(c)] if ord(c) < 128 else 37 + ord(c) % 27 for c in (w[i], w[j], w[k]))
                 out[key] = out.get(key, 0) + svm.DECAY ** (k - i + 1)
         norm = sum(v * v for v in out.values()) ** 0.5
         return {key: v / norm for key, v in out.items()}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .language_id import held_out
@@ -25,11 +26,11 @@ def training_sample(
         .agg(F.max(label).alias("label"))
     )
     share = known.agg(F.avg("label").alias("p")).first()["p"] or 0.0
-    # Half as many again as wanted, as some texts are too long; still a bounded table.
-    place = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    wanted = F.create_map(*[F.lit(v) for k, n in rows.items() for v in (k, n)])[F.col("label")]
-    picked = known.withColumn("place", place).where(F.col("place") <= wanted * 1.5)
+    draw = known.withColumn("draw", F.xxhash64("doc_id"))
+    # Half as many again as wanted, as some texts are too long; still a bounded table, so no text needs to move.
+    classes = [draw.where(F.col("label") == k).orderBy("draw", "doc_id").limit(n + n // 2) for k, n in rows.items()]
+    picked = F.broadcast(reduce(DataFrame.union, classes))
     texts = docs.select("doc_id", "text").where((F.length("text") > 0) & (F.length("text") <= longest))
-    found = sorted((r["label"], r["place"], r["text"]) for r in texts.join(picked, "doc_id").collect())
+    found = sorted((r["label"], r["draw"], r["text"]) for r in texts.join(picked, "doc_id").collect())
     kept = [r for k, n in rows.items() for r in [f for f in found if f[0] == k][:n]]
     return [r[2] for r in kept], [r[0] for r in kept], float(share)

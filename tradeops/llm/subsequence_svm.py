@@ -22,55 +22,55 @@ SENTENCE = 16  # words in a piece of a long sentence
 SHARE, RIDGE = 0.15, 1e-4  # weight of all toxic sentences together in training, and the machine's regularisation
 LONGEST = 32  # characters in a piece of a long word; pieces overlap by the reach
 GAPS = [(i, j) for i in range(1, REACH - 1) for j in range(1, REACH - i)]
+MARKS = ".,!?;:\"'()"
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+LETTERS = re.compile(r"\s\S[ \t]\S[ \t]\S(?!\S)")  # finds texts for SPACED quickly
 ENDS = (".", "!", "?")
 
 
 def tokens(text: str) -> list[str]:
     """Lower-cased words; letters spaced out one by one make one word."""
-    text = SPACED.sub(lambda m: m.group().replace(" ", "").replace("\t", ""), text.lower())
+    text = text.lower()
+    if LETTERS.search(" " + text[:8]) or LETTERS.search(text):
+        text = SPACED.sub(lambda m: m.group().replace(" ", "").replace("\t", ""), text)
     return text.split()
 
 
-def sentence_starts(ends: np.ndarray) -> np.ndarray:
-    """Where pieces begin, given which words end a sentence: behind an end, and every ``SENTENCE`` words."""
+def sentence_places(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word its piece of a sentence and its place there, given which words end a sentence."""
     begins = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1])
-    number = np.arange(len(ends))
-    since = number - begins[np.searchsorted(begins, number, side="right") - 1]
-    return np.flatnonzero(since % SENTENCE == 0)
+    place = (np.arange(len(ends)) - np.repeat(begins, np.diff(begins, append=len(ends)))) % SENTENCE
+    return np.cumsum(place == 0) - 1, place
 
 
-def _code(c: str) -> int:
-    if "a" <= c <= "z":
-        return ord(c) - 96
-    if "0" <= c <= "9":
-        return ord(c) - 48 + 27
-    return 37 + ord(c) % 27
+# Codes of ASCII characters; others have 37 + point mod 27.
+_ASCII = np.array([c - 96 if 97 <= c <= 122 else c - 48 + 27 if 48 <= c <= 57 else 37 + c % 27 for c in range(128)])
+_WEIGHTS = DECAY ** (np.arange(4) + 3.0)
 
 
 def subsequences(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, subsequence, weight) of all words together, each word's weights of length 1; sorted by owner."""
-    pieces, owners = [], []
-    for i, w in enumerate(words):
-        for at in range(0, max(len(w) - REACH + 1, 1), LONGEST - REACH + 1):
-            pieces.append(w[at : at + LONGEST])
-            owners.append(i)
-    chars = np.zeros((len(pieces), max(map(len, pieces), default=0) + REACH), np.int64)
-    for row, piece in zip(chars, pieces):
-        row[: len(piece)] = list(map(_code, piece))
-    keys, weights = [], []
-    owner = np.array(owners, np.int64)[:, None] << 18
-    n = chars.shape[1] - REACH
+    pieces, owners = list(words), np.arange(len(words))
+    if any(len(w) > LONGEST for w in words):
+        cuts = [range(0, max(len(w) - REACH + 1, 1), LONGEST - REACH + 1) for w in words]
+        pieces = [w[at : at + LONGEST] for w, starts in zip(words, cuts) for at in starts]
+        owners = np.repeat(owners, [len(starts) for starts in cuts])
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    n = int(lengths.max(initial=0))
+    chars = np.zeros((len(pieces), n + REACH), np.int64)
+    points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    chars[:, :n][np.arange(n) < lengths[:, None]] = np.where(points < 128, _ASCII[points % 128], 37 + points % 27)
+    keys, owner = [], owners[:, None] << 18
     for i, j in GAPS:
         a, b, c = chars[:, :n], chars[:, i : n + i], chars[:, i + j : n + i + j]
-        key = owner | a << 12 | b << 6 | c
-        key = key[(a > 0) & (b > 0) & (c > 0)]
-        keys.append(key)
-        weights.append(np.full(len(key), DECAY ** (i + j + 1)))
-    if not keys or not sum(map(len, keys)):
+        # The two lowest bits hold the span, which gives the weight.
+        keys.append((owner | a << 12 | b << 6 | c)[c > 0] << 2 | i + j - 2)
+    key = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.int64)
+    if not len(key):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    weight = np.bincount(inverse, np.concatenate(weights))
+    begins = np.flatnonzero(np.diff(key >> 2, prepend=-1))
+    weight = np.add.reduceat(_WEIGHTS[key & 3], begins)
+    key = key[begins] >> 2
     owner = key >> 18
     norm = np.sqrt(np.bincount(owner, weight * weight, minlength=len(words)))
     return owner, key & (CODES**3 - 1), weight / norm[owner]
@@ -98,20 +98,21 @@ class Machine:
     offset: float
     scale: np.ndarray
     bias: float
-    words: int = 400_000  # words remembered
+    words: int = 600_000  # words remembered
     _known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
         return self.__dict__ | {"_known": {}}
 
     def _learn(self, words: list[str]) -> None:
-        """A word's value; an end of sentence is marked by adding 1000."""
-        for at in range(0, len(words), 5000):
-            part = words[at : at + 5000]
+        """A word's value without the marks around it; an end of sentence is marked by adding 1000."""
+        known, bare = self._known, [w.strip(MARKS) for w in words]
+        new = list(set(bare).difference(known))
+        for at in range(0, len(new), 5000):
+            part = new[at : at + 5000]
             owner, code, weight = subsequences(part)
-            value = np.bincount(owner, weight * self.weights[code], minlength=len(part))
-            value += [1000.0 * w.endswith(ENDS) for w in part]
-            self._known.update(zip(part, value.tolist()))
+            known.update(zip(part, np.bincount(owner, weight * self.weights[code], minlength=len(part)).tolist()))
+        known.update([(w, known[b] + 1000.0 * w.endswith(ENDS)) for w, b in zip(words, bare) if w != b])
 
     def margins(self, words: list[str]) -> np.ndarray:
         """The decision value of each sentence."""
@@ -119,21 +120,22 @@ class Machine:
             return np.empty(0)
         if len(self._known) > self.words:
             self._known.clear()
-        new = set(words).difference(self._known)
+        new = [w for w in words if w not in self._known]
         if new:
-            self._learn(list(new))
+            self._learn(list(set(new)))
         values = np.fromiter(map(self._known.__getitem__, words), float, len(words))
         ends = values > 500
         values[ends] -= 1000
-        sentence = np.cumsum(np.bincount(sentence_starts(ends), minlength=len(values))) - 1
-        order = np.lexsort((values, sentence))
-        values, sentence = values[order], sentence[order]
-        again = np.concatenate([[False], (values[1:] == values[:-1]) & (sentence[1:] == sentence[:-1])])
-        return np.bincount(sentence, values * ~again) + self.offset
+        sentence, place = sentence_places(ends)
+        rows = np.zeros((sentence[-1] + 1, SENTENCE))
+        rows[sentence, place] = values
+        rows.sort(axis=1)
+        rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = 0  # a word counts once
+        return rows.sum(axis=1) + self.offset
 
     def score(self, text: str) -> float:
         margins = self.margins(tokens(text))
-        top = top_margins(margins if len(margins) else np.array([self.offset]))
+        top = top_margins(margins if len(margins) else np.array([min(self.offset, -1.0)]))
         return float(1 / (1 + np.exp(-np.clip(top @ self.scale + self.bias, -30, 30))))
 
 
@@ -182,15 +184,16 @@ def choose_landmarks(docs: list[list[str]], toxic: np.ndarray, count: int, rng:
     return best + [rest[i] for i in sorted(rng.choice(len(rest), min(count - len(best), len(rest)), replace=False))]
 
 
-def train(texts: list[str], toxic: Sequence[int], prior: float, landmarks: int = 240, rounds: int = 4, seed: int = 3) -> Machine | None:
+def train(texts: list[str], toxic: Sequence[int], prior: float, landmarks: int = 160, rounds: int = 4, seed: int = 3) -> Machine | None:
     """From documents' labels: sentences take them over, then only the most toxic sentences of toxic documents keep them."""
     y = np.asarray(toxic, dtype=int)
     docs = [tokens(t) for t in texts]
+    bare = [[w.strip(MARKS) for w in d] for d in docs]
     if not len(y) or y.min() == y.max() or not any(docs):
         return None
     rng = np.random.default_rng(seed)
-    marks = choose_landmarks(docs, y, landmarks, rng)
-    vocabulary = sorted({w for d in docs for w in d})
+    marks = choose_landmarks(bare, y, landmarks, rng)
+    vocabulary = sorted({w for d in bare for w in d})
     number = {w: i for i, w in enumerate(vocabulary)}
     value, vector = np.linalg.eigh(kernel(marks, marks).astype(float))
     keep = value > 1e-3
@@ -199,13 +202,13 @@ def train(texts: list[str], toxic: Sequence[int], prior: float, landmarks: int =
     mapped = np.concatenate([kernel(vocabulary[at : at + 5000], marks) @ root32 for at in range(0, len(vocabulary), 5000)])
     rows, owner = [], []
     for d, words in enumerate(docs):
-        ids = np.array([number[w] for w in words], np.int64)
+        ids = np.array([number[w] for w in bare[d]], np.int64)
         if len(ids):
             ends = np.array([w.endswith(ENDS) for w in words])
-            starts = sentence_starts(ends)
-            distinct = [np.unique(part) for part in np.split(ids, starts[1:])]
+            sentence, _ = sentence_places(ends)
+            distinct = [np.unique(part) for part in np.split(ids, np.flatnonzero(np.diff(sentence)) + 1)]
             rows.append(np.stack([mapped[part].sum(axis=0) for part in distinct]))
-            owner += [d] * len(starts)
+            owner += [d] * len(distinct)
     x = np.hstack([np.concatenate(rows), np.ones((len(owner), 1), np.float32)])
     owner = np.array(owner)
     bad = y[owner] == 1

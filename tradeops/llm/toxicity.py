@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .labelled import training_sample
 from .subsequence_svm import Machine, train
 
-SAMPLE, LONGEST = {0: 900, 1: 600}, 20_000  # documents a class, and characters of each, to train on
+SAMPLE, LONGEST = {0: 700, 1: 500}, 10_000  # documents a class, and characters of each, to train on
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[Machine | None, float]:
