@@ -150,10 +150,11 @@ def portal_users(tables: Mapping[str, DataFrame], internal_domain: str, admin_ro
         "customer_accounting_id", "tax_id",
     )
     org = tables["organization"].select(F.col("id").alias("__org"), F.col("name").alias("__org_name"))
+    # A company may have very many branches: they fan out on the company's side, behind inner joins.
+    offices = fanout_left_join(company, branch, [("__company", "__branch_of")])
     rows = (
         u.join(member, F.col("id") == F.col("__member"))
-        .join(company, F.col("__of") == F.col("__company"))
-        .join(branch, F.col("__company") == F.col("__branch_of"), "left")
+        .join(offices, F.col("__of") == F.col("__company"))
         .join(login_counts(tables["user_login_history"]), F.col("id") == F.col("__user"), "left")
         .join(contact, F.col("ext_id") == F.col("__contact"), "left")
         .join(org, F.col("organization_id") == F.col("__org"), "left")

@@ -387,7 +387,6 @@ def volume_waterfall(t):
         }
     )
     measures = (("tax", "TAX", "Tax rate"), ("disc", "DISC", "Discount"), ("pcs", "PCS", "Pieces"))
-    assert len(VOLUME_MEASURES) == 6
     return rows.withColumns(waterfall(measures))
 
 
