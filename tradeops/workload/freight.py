@@ -21,7 +21,6 @@ from ..functions.payload import (
     with_payload_dates,
 )
 from ..functions.rules import (
-    VOLUME_MEASURES,
     doc_flag as flag_documents,
     final_delivery,
     pieces_of,
