@@ -71,15 +71,17 @@ def corpus(seed):
     return [(i, t) for i, t in enumerate(texts)] + [(3, "repeated id"), (None, "no id at all"), (None, "one two")]
 
 
-@pytest.mark.parametrize(("seed", "size", "threshold", "block"), [(1, 3, 90, 2000), (2, 3, 80, 5), (3, 2, 70, 4)])
+@pytest.mark.parametrize(("seed", "size", "threshold", "block"), [(1, 3, 90, 1000), (3, 2, 70, 4)])
 def test_against_brute_force(spark, monkeypatch, seed, size, threshold, block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)  # recursion and blocks on small data
     rows = corpus(seed)
     assert run(spark, rows, size, threshold) == brute(rows, size, threshold)
 
 
-def test_without_stars(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "STARS", 1)
+@pytest.mark.parametrize(("turns", "radius"), [(1, 0.02), (2, 0.6)])
+def test_rings_and_balls(spark, monkeypatch, turns, radius):
+    monkeypatch.setattr(jaccard_join, "TURNS", turns)
+    monkeypatch.setattr(jaccard_join, "RADIUS", radius)
     monkeypatch.setattr(jaccard_join, "SMALL", 2)
     monkeypatch.setattr(jaccard_join, "BLOCK", 6)
     rows = corpus(4)

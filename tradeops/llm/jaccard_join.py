@@ -6,15 +6,19 @@ Points are documents' shingle sets. Two documents link if ``100 * |x & y| >= thr
 document into every region. So the first pivots are the points of the space with one shingle each, ordered rare first.
 A document's Voronoi region is that of its first shingle: for any other pivot, distance or order is larger.
 *Windows.* Linked sets differ by at most ``k`` of a set's shingles, ``k = n - ceil(threshold * n / 100)``. By the triangle
-inequality a partner cannot lie behind the first ``k + 1`` pivots of a document, and each document is copied into these
-boundary regions. Within a region, the distance to the empty set (the set's size) cuts rings: a document on a ring's upper
+inequality a partner cannot lie behind the first ``k + 1`` pivots of a document, and among the first ``k + s`` at least ``s``
+are shared; each document is copied into these boundary regions, with ``s = SHARED`` (or the size of the overlap, if less). Within a region, the distance to the empty set (the set's size) cuts rings: a document on a ring's upper
 border is copied into the next ring, as sizes of linked sets differ by at most the factor ``threshold / 100``.
-*Regions.* In a ring of at most ``SMALL`` documents all pairs are candidates. In a larger one a document is the pivot: its
-ball of linked documents becomes one component, and only pairs of different components are still of interest; after
-``STARS`` such rounds, rings that still hold several components are joined recursively: again by the second shared pivot
-(linked documents share two of their first ``k + 2``), and at last block against block.
-*Exactness.* Candidates pass a signature (64 class counts, each a distance to a pivot set; their differences add up to no
-more than the symmetric difference) and are verified on the whole sets. Shingles are 64-bit hashes.
+*Regions.* In a ring of at most ``SMALL`` documents all pairs are listed, and those listed by ``SHARED`` pivots are candidates;
+pairs that also share a larger ring are found there. In a larger one a document becomes the pivot ``c``,
+``TURNS`` times. Distances to it are taken in the space of signatures (class counts; the sum of their differences is at most
+the symmetric difference). Documents up to ``R + k`` from ``c`` go into the ball of ``c``, those beyond ``R`` stay in the
+ring, and a document between, on the boundary, is in both: linked documents are together in one of the two. The balls of a
+family's many rings are one region, as they share their pivot. It is joined exactly on the whole sets, block against
+block, after its pivot's own links; once two components meet, no more of their pairs are looked at, and only links that
+join components come back. What stays in a ring behind its last pivot is compared by signature; a ring above ``BLOCK``
+is split again by the second shared pivot first.
+*Exactness.* Every candidate pair is verified on the whole sets of 64-bit shingle hashes.
 
 Equal sets are one point, so exact copies never meet; links inside a component once known are not listed again.
 
@@ -32,14 +36,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ..sources.staging import staged
 from .components import components
 from .shingle_sets import codes, frequency_ranks, set_key, signature
 
 SMALL = 8  # documents of a ring that are all compared at once
-STARS = 3  # rounds with a document as pivot of each larger ring
-BLOCK = 2_000  # documents in a block of the last resort
+TURNS = 3  # documents that become pivot of a larger ring, one after the other
+RADIUS = 0.25  # of a ball, as a share of its pivot's size
+BLOCK = 1_000  # documents in a block
+SHARED = 3  # pivots that linked documents have in common among those listed
+FILTER = 1 << 20  # hash cells of a filter for documents, whatever their number
 RING = 3  # a ring spans sizes from s to s / threshold^RING
 
 
@@ -48,7 +56,7 @@ def _least_overlap(n: Column, threshold: int) -> Column:
 
 
 def _features(docs: DataFrame, text: str, size: int, threshold: int, ranks) -> DataFrame:
-    """doc_id, n, key, prefix (first k + 2 pivots, as signed numbers), signature."""
+    """doc_id, n, key, prefix (the pivots of its boundary regions, as signed numbers), signature."""
 
     @F.pandas_udf("n int, key binary, prefix array<bigint>, signature binary")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -56,39 +64,44 @@ def _features(docs: DataFrame, text: str, size: int, threshold: int, ranks) -> D
             rows = []
             for t in batch:
                 c = codes(t, size, ranks.value)
-                k = len(c) - -(-threshold * len(c) // 100)
-                rows.append((len(c), set_key(c), c[: k + 2].view(np.int64), signature(c)))
+                overlap = -(-threshold * len(c) // 100)
+                prefix = c[: len(c) - overlap + min(SHARED, overlap)].view(np.int64)
+                rows.append((len(c), set_key(c), prefix, signature(c).tobytes()))
             yield pd.DataFrame(rows, columns=["n", "key", "prefix", "signature"])
 
     return docs.select("doc_id", features(F.col(text)).alias("f")).select("doc_id", "f.*")
 
 
 def _rings(members: DataFrame, threshold: int) -> DataFrame:
-    """``members`` once for their own ring and, at its upper border, for the next."""
+    """``members`` once for their own ring (``home``) and, at its upper border, for the next."""
     step = -RING * math.log(threshold / 100) if threshold < 100 else 1.0
     level = lambda n: F.floor(F.log(n) / step + 1e-9)
     # A partner may be larger by 100 / threshold; a little more keeps rounding out of the way.
     upper = level(F.col("n") * (100 / threshold) * (1 + 1e-6))
-    return members.withColumn("ring", F.explode(F.sequence(level(F.col("n")), upper)))
+    return members.withColumn("home", level(F.col("n"))).withColumn("ring", F.explode(F.sequence(F.col("home"), upper)))
 
 
 def _sizes_fit(a: Column, b: Column, threshold: int) -> Column:
     return (100 * F.least(a, b)) >= (threshold * F.greatest(a, b))
 
 
-def _signatures_fit(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose signatures allow a link."""
-    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
+@F.pandas_udf(IntegerType())
+def _apart(x: pd.Series, y: pd.Series) -> pd.Series:
+    """Distance of signatures."""
+    both = [np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1).astype(np.int16) for s in (x, y)]
+    return pd.Series(np.abs(both[0] - both[1]).sum(axis=1, dtype=np.int32))
 
-    @F.pandas_udf("int")
-    def apart(x: pd.Series, y: pd.Series) -> pd.Series:
-        both = [np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1).astype(np.int16) for s in (x, y)]
-        return pd.Series(np.abs(both[0] - both[1]).sum(axis=1, dtype=np.int32))
 
+def _distances(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with sizes ``n_a``, ``n_b`` and the distance of their signatures, ``apart``."""
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    # |x ^ y| = |x| + |y| - 2 |x & y| and |x & y| >= threshold / (100 + threshold) * (|x| + |y|)
-    most = (F.col("n_a") + F.col("n_b")) * (100 - threshold)
-    return joined.where(apart("s_a", "s_b") * (100 + threshold) <= most).select("a", "b")
+    return joined.withColumn("apart", _apart("s_a", "s_b")).drop("s_a", "s_b")
+
+
+def _may_link(threshold: int) -> Column:
+    """|x ^ y| = |x| + |y| - 2 |x & y|, and |x & y| >= threshold / (100 + threshold) * (|x| + |y|) of linked sets."""
+    return F.col("apart") * (100 + threshold) <= (F.col("n_a") + F.col("n_b")) * (100 - threshold)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -102,54 +115,115 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _stars(rings: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each ring's pivot document with its documents of other components (``rings``: with ``component``)."""
-    key = ["pivot", "ring"]
-    pick = F.struct(F.xxhash64("component", F.lit(turn)).alias("draw"), "node", "component")
-    centre = rings.groupBy(*key).agg(F.min(pick).alias("centre"))
+def _small_pairs(rings: DataFrame, key: list[str], threshold: int) -> DataFrame:
+    """Pairs that have enough pivots in common; each pivot counts in the ring that is home to the larger document."""
+    other = rings.select(*key, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("home").alias("home_b"))
+    least = F.least(F.lit(SHARED), _least_overlap(F.min("n"), threshold), _least_overlap(F.min("n_b"), threshold))
     return (
-        rings.join(centre, key)
-        .where(F.col("component") != F.col("centre.component"))
-        .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
-        .distinct()
+        rings.join(other, key)
+        .where((F.col("node") < F.col("b")) & (F.col("ring") == F.greatest("home", "home_b")))
+        .where(_sizes_fit(F.col("n"), F.col("n_b"), threshold))
+        .groupBy(F.col("node").alias("a"), "b")
+        .agg(F.count("*").alias("shared"), least.alias("least"))
+        .where("shared >= least")
+        .select("a", "b")
     )
 
 
-def _mixed(rings: DataFrame, key: list[str]) -> DataFrame:
+def _turn(rings: DataFrame, key: list[str], classes: DataFrame, threshold: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """One document of each ring as its pivot: (distances (a: pivot, b) with ``ball``, the documents that stay in rings)."""
+    pick = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node")
+    centres = rings.groupBy(*key).agg(F.min(pick)["node"].alias("a"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    placed = rings.join(centres, key)
+    distances = _distances(placed.select("a", F.col("node").alias("b")).distinct(), classes)
+    # A partner's distance to the pivot differs by at most k = n * (100 / threshold - 1), by its own size n.
+    reach = F.col("n_a") * RADIUS + F.col("n_b") * (100 / threshold - 1) * (1 + 1e-6)
+    distances = staged(distances.withColumn("ball", F.col("apart") <= reach), "distances")
+    beyond = distances.where(F.col("apart") > F.col("n_a") * RADIUS).select("a", F.col("b").alias("node"))
+    return distances, staged(placed.join(beyond, ["a", "node"], "left_semi").select(*key, "node", "n"), "beyond")
+
+
+def _mixed(rows: DataFrame, key: list[str]) -> DataFrame:
     """Rows of groups that hold more than one component, with the group's number of rows."""
-    groups = rings.groupBy(*key).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("rows"))
-    return rings.join(groups.where("c0 <> c1").select(*key, "rows"), key)
+    groups = rows.groupBy(*key).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("rows"))
+    return rows.join(groups.where("c0 <> c1").select(*key, "rows"), key)
 
 
-def _block_pairs(groups: DataFrame, key: list[str], classes: DataFrame, threshold: int) -> DataFrame:
-    """Candidates of different components from all of each group, block against block."""
+def _in_blocks(groups: DataFrame, key: list[str]) -> DataFrame:
+    """``groups`` (with ``rows``) dealt to cells in which rows that are ``low`` meet those that are ``high``, each pair once."""
     blocks = F.ceil(F.col("rows") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = (
-        groups.withColumn("own", own)
+    return (
+        groups.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("cell", F.xxhash64(*key, F.least("own", "other"), F.greatest("own", "other")))
-        .withColumn("low", (F.col("own") <= F.col("other")))
-        .withColumn("high", (F.col("own") >= F.col("other")))
-        .join(classes.select("node", "signature"), "node")
-        .select("cell", "low", "high", "node", "n", "component", "signature")
+        .withColumn("low", F.col("own") <= F.col("other"))
+        .withColumn("high", F.col("own") >= F.col("other"))
+        .drop("own", "other", "rows")
     )
 
+
+def _partners(batch: pd.DataFrame, signatures: np.ndarray, part: np.ndarray, threshold: int):
+    """For each low row the high rows of another ``part`` (which may change meanwhile) that size and signature allow."""
+    n, low, high = batch["n"].to_numpy().astype(np.int64), batch["low"].to_numpy(), np.flatnonzero(batch["high"].to_numpy())
+    signatures = signatures.astype(np.int16)
+    for i in np.flatnonzero(low):
+        j = high[high > i] if batch["high"].iat[i] else high
+        j = j[(part[j] != part[i]) & (100 * np.minimum(n[j], n[i]) >= threshold * np.maximum(n[j], n[i]))]
+        if len(j):
+            apart = np.abs(signatures[j] - signatures[i]).sum(axis=1)
+            j = j[apart * (100 + threshold) <= (n[j] + n[i]) * (100 - threshold)]
+            yield i, j
+
+
+def _ball_links(balls: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links that join components inside each ball (ball, node, component, rows)."""
+    dealt = _in_blocks(balls, ["ball"]).join(sets, "node").withColumn("n", F.size("shingles"))
+
+    def join(batch: pd.DataFrame) -> pd.DataFrame:
+        shingles, node = batch["shingles"].to_list(), batch["node"].to_numpy()
+        signatures = np.stack([signature(s.view(np.uint64)) for s in shingles])
+        part, found = batch["component"].to_numpy().copy(), []
+        for i, candidates in _partners(batch, signatures, part, threshold):
+            for j in candidates:
+                if part[i] != part[j]:
+                    common = len(np.intersect1d(shingles[i], shingles[j], assume_unique=True))
+                    if 100 * common >= threshold * (len(shingles[i]) + len(shingles[j]) - common):
+                        found.append((node[i], node[j]))
+                        part[part == part[j]] = part[i]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return dealt.groupBy("cell").applyInPandas(join, "a bigint, b bigint")
+
+
+def _signature_pairs(groups: DataFrame, key: list[str], classes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) in each group (node, n, rows) that signatures allow."""
+    dealt = _in_blocks(groups, key).join(classes.select("node", "signature"), "node").drop(*key)
+
     def compare(batch: pd.DataFrame) -> pd.DataFrame:
-        node, n, part = (batch[c].to_numpy() for c in ("node", "n", "component"))
-        low, high = batch["low"].to_numpy(), np.flatnonzero(batch["high"].to_numpy())
-        sig = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), -1).astype(np.int16)
-        found = []
-        for i in np.flatnonzero(low):
-            j = high[(part[high] != part[i]) & (100 * np.minimum(n[high], n[i]) >= threshold * np.maximum(n[high], n[i]))]
-            if len(j):
-                apart = np.abs(sig[j] - sig[i]).sum(axis=1)
-                j = j[apart * (100 + threshold) <= (n[j] + n[i]) * (100 - threshold)]
-                found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1))
-        pairs = np.unique(np.concatenate(found or [np.empty((0, 2), np.int64)]), axis=0)
+        node = batch["node"].to_numpy()
+        signatures = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), -1)
+        pairs = [np.stack([np.full(len(j), node[i]), node[j]], axis=1) for i, j in _partners(batch, signatures, node, threshold)]
+        pairs = np.sort(np.concatenate(pairs or [np.empty((0, 2), np.int64)]), axis=1)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return dealt.groupBy("cell").applyInPandas(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("cell").applyInPandas(compare, "a bigint, b bigint")
+
+
+def _rest_pairs(rings: DataFrame, key: list[str], classes: DataFrame, threshold: int) -> DataFrame:
+    """Candidates of what stays in rings (node, n) behind their last pivot."""
+    counted = rings.join(rings.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1"), key)
+    again = (
+        counted.where(F.col("rows") > BLOCK)
+        .join(classes.select("node", F.explode("prefix").alias("second")), "node")
+        .where(F.col("second") != F.col("pivot"))
+    )
+    # Each pair of pivots once: a document has both, so it meets the pair from either side.
+    deeper = ["first", "second", "ring"]
+    again = again.withColumn("first", F.least("pivot", "second")).withColumn("second", F.greatest("pivot", "second"))
+    again = again.select(*deeper, "node", "n").distinct()
+    again = again.join(again.groupBy(*deeper).agg(F.count("*").alias("rows")).where("rows > 1"), deeper)
+    fits = _signature_pairs(counted.where(F.col("rows") <= BLOCK), key, classes, threshold)
+    return fits.union(_signature_pairs(again, deeper, classes, threshold)).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, text: str = "text") -> DataFrame:
@@ -168,9 +242,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, text: s
         "classes",
     )
 
-    # Boundary regions: pivots that at least two sets have among their first k + 1.
-    near = F.slice("prefix", F.lit(1), (F.col("n") - _least_overlap(F.col("n"), threshold) + 1).cast("int"))
-    postings = classes.select("node", "n", F.explode(near).alias("pivot"))
+    # Boundary regions with at least two sets.
+    postings = classes.select("node", "n", F.explode("prefix").alias("pivot"))
     shared = postings.groupBy("pivot").count().where("count > 1").select("pivot")
     rings = _rings(postings.join(shared, "pivot"), threshold)
     key = ["pivot", "ring"]
@@ -178,39 +251,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, text: s
     rings = staged(rings.join(populated, key), "rings")
 
     small = rings.where(F.col("rows") <= SMALL).drop("rows")
-    large = rings.where(F.col("rows") > SMALL).drop("rows")
-    other = small.select(*key, F.col("node").alias("b"), F.col("n").alias("n_b"))
-    pairs = (
-        small.join(other, key)
-        .where((F.col("node") < F.col("b")) & _sizes_fit(F.col("n"), F.col("n_b"), threshold))
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-    )
-    stars = _stars(large.withColumn("component", F.col("node")), 0)
-    pairs = staged(_signatures_fit(pairs.union(stars).distinct(), classes, threshold), "pairs")
+    rest = rings.where(F.col("rows") > SMALL).drop("rows", "home")
+    pairs = _distances(_small_pairs(small, key, threshold), classes).where(_may_link(threshold)).select("a", "b")
+    balls = None
+    for turn in range(TURNS):
+        distances, rest = _turn(rest, key, classes, threshold, turn)
+        pairs = pairs.union(distances.where(_may_link(threshold) & (F.col("a") != F.col("b"))).select("a", "b"))
+        ball = distances.where("ball").select(F.col("a").alias("ball"), F.col("b").alias("node"))
+        balls = ball if balls is None else balls.union(ball)
+    pairs = pairs.union(_rest_pairs(rest, key, classes, threshold))
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs, balls = staged(ordered.distinct(), "pairs"), staged(balls.distinct(), "balls")
 
     # The whole sets, of those documents only that may be compared.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(balls.select("node")).distinct()
     sets = staged(_sets(docs, classes.join(wanted, "node", "left_semi"), size, ranks), "sets")
 
     links = staged(_verified(pairs, sets, threshold), "links")
+    mixed = staged(_mixed(_labelled(balls, components(links)), ["ball"]), "mixed")
+    links = links.union(staged(_ball_links(mixed, sets, threshold), "links"))
     labels = components(links)
-    tested = pairs
-    for turn in range(1, STARS + 1):
-        mixed = _mixed(_labelled(large, labels), key).drop("rows")
-        if turn < STARS:
-            fresh = _stars(mixed, turn)
-        else:
-            fresh = _recursive_pairs(staged(_mixed(_labelled(large, labels), key), "mixed"), classes, threshold)
-        fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        fresh = staged(_signatures_fit(fresh, classes, threshold), "pairs")
-        if fresh.isEmpty():
-            if turn < STARS:
-                continue
-            break
-        tested = tested.union(fresh)
-        links = links.union(staged(_verified(fresh, sets, threshold), "links"))
-        labels = components(links)
 
     named = _labelled(classes.select("key", "node", "doc"), labels)
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
@@ -226,27 +286,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, text: s
     )
 
 
-def _recursive_pairs(mixed: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Candidates of different components in what is still mixed (pivot, ring, node, n, component, rows)."""
-    key = ["pivot", "ring"]
-    fits = mixed.where(F.col("rows") <= BLOCK)
-    again = (
-        mixed.where(F.col("rows") > BLOCK)
-        .drop("rows")
-        .join(classes.select("node", F.explode("prefix").alias("second")), "node")
-        .where(F.col("second") != F.col("pivot"))
-    )
-    # Each pair of pivots once: a document has both, so it meets the pair from either side.
-    again = again.withColumn("first", F.least("pivot", "second")).withColumn("second", F.greatest("pivot", "second"))
-    again = again.select("first", "second", "ring", "node", "n", "component").distinct()
-    deeper = _mixed(again, ["first", "second", "ring"])
-    return (
-        _block_pairs(fits, key, classes, threshold)
-        .union(_block_pairs(deeper, ["first", "second", "ring"], classes, threshold))
-        .distinct()
-    )
-
-
 def _sets(docs: DataFrame, classes: DataFrame, size: int, ranks) -> DataFrame:
     """(node, shingles) of ``classes``, computed again from one document of each."""
 
@@ -257,6 +296,10 @@ def _sets(docs: DataFrame, classes: DataFrame, size: int, ranks) -> DataFrame:
             yield pd.DataFrame({"key": [set_key(c) for c in coded], "shingles": [c.view(np.int64) for c in coded]})
 
     wanted = classes.select(F.col("doc").alias("doc_id"), F.col("key").alias("wanted"), "node")
+    # Most texts need not move: a table of at most FILTER hash cells of the wanted ids is broadcast and keeps them back.
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER)).alias("cell")
+    cells = F.broadcast(wanted.select(cell).distinct())
+    docs = docs.select("doc_id", "text", cell).join(cells, "cell", "left_semi").drop("cell")
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "wanted", whole("text").alias("s"))
     # Only where ids repeat or are null can a row belong to another set, or a set come twice.
     return found.where("s.key = wanted").groupBy("node").agg(F.first("s.shingles").alias("shingles"))
