@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tradeops.llm import language_id
 from tradeops.llm.common import bounded_batches, tokenizer_path
-from tradeops.llm.decontamination import contaminated
-from tradeops.llm.jaccard_join import near_duplicates
+from tradeops.llm.decontamination import uncontaminated
+from tradeops.llm.jaccard_join import repeated, row_mark
 from tradeops.llm.line_dedup import dedup_lines
 from tradeops.llm.packing import pack_documents
 from tradeops.sources.staging import staged
@@ -41,17 +41,26 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near duplicates, and everything that is alone."""
+    """Keeps the document of smallest id of each group of near duplicates, and everything that is alone.
+
+    A document is an id and a text: rows that share only one of them are told apart, rows equal in both stay or go
+    together. A row without an id is a document of its own: it is kept only where its group has no id, and then once.
+    """
     docs = _documents(docs)
-    groups = near_duplicates(docs, SHINGLE, SIMILARITY).where("n_shingles > 0 and doc_id <> component_id")
-    return _documents(docs.join(groups.select("doc_id").distinct(), "doc_id", "left_anti"))
+    gone = repeated(docs, SHINGLE, SIMILARITY).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"))
+    docs = docs.withColumn("_mark", row_mark())
+    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (docs["_mark"] == gone["_of"]), "left_anti")
+    # Rows equal in both are told apart by nothing, so those without an id are reduced here; texts without words never link.
+    copies = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike("[^ \t\n\x0b\f\r]"), F.lit(False))
+    rest = F.struct("lang", "source", "n_chars")
+    once = left.where(copies).groupBy("doc_id", "text").agg(F.min(rest).alias("rest")).select("doc_id", "text", "rest.*")
+    return _documents(left.where(~copies)).unionByName(once)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     docs = _documents(docs)
-    hits = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return _documents(docs.join(hits.select(F.col("doc_id").alias("_hit")), docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti"))
+    return _documents(uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

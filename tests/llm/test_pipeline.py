@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 import corpus_pipeline as pipeline
@@ -71,6 +73,37 @@ def test_odd_rows(spark, tmp_path):
     assert [r["doc_id"] for r in got] == [3, 3]
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _passage(seed, n=60):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(400)}" for _ in range(n)]
+
+
+def test_near_duplicate_stage_decides_by_row(spark):
+    a, b, c, d, e = (" ".join(_passage(i)) for i in range(5))
+    rows = [(None, a), (None, a), (1, a + " more"), (1, b), (2, a + " less"), (2, c), (2, c), (None, d), (None, d), (None, d + " end"), (7, e), (7, e + " end")]
+    rows += [(None, " "), (None, " "), (None, None), (None, None), (8, None)]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in pipeline.remove_near_duplicates(spark, df, SF_DIR).collect()]
+    # One of each group, the smallest id; a clean text stays whatever shares its id; equal rows with an id are one document.
+    assert [r for r in got if r[0] in (1, 2)] and sorted(r for r in got if r[0] in (1, 2)) == sorted([(1, a + " more"), (1, b), (2, c), (2, c)])
+    assert sum(t in (d, d + " end") for _, t in got) == 1 and sum(i == 7 for i, _ in got) == 1
+    assert a not in {t for _, t in got}
+    assert sorted(repr(r) for r in got if not (r[1] or "").strip()) == sorted(map(repr, rows[-5:]))
+
+
+def test_benchmark_stage_decides_by_row(spark, tmp_path):
+    item = " ".join(_passage(50, 30))
+    spark.createDataFrame([(1, item), (2, " ".join(_passage(51, 30)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    bad = [(None, " ".join(_passage(60)) + " " + item), (5, item)]
+    good = [(None, " ".join(_passage(61))), (None, None), (5, " ".join(_passage(62))), (5, " ".join(_passage(62))), (6, "")]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in bad + good], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in pipeline.remove_benchmark(spark, df, str(tmp_path)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, good))
+
+
 def test_run_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -56,7 +56,7 @@ def _least_overlap(n: Column, threshold: int) -> Column:
 
 
 def _features(docs: DataFrame, text: str, size: int, threshold: int, ranks) -> DataFrame:
-    """doc_id, n, key, prefix (the pivots of its boundary regions, as signed numbers), signature."""
+    """doc_id, mark, n, key, prefix (the pivots of its boundary regions, as signed numbers), signature."""
 
     @F.pandas_udf("n int, key binary, prefix array<bigint>, signature binary")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -69,7 +69,7 @@ def _features(docs: DataFrame, text: str, size: int, threshold: int, ranks) -> D
                 rows.append((len(c), set_key(c), prefix, signature(c).tobytes()))
             yield pd.DataFrame(rows, columns=["n", "key", "prefix", "signature"])
 
-    return docs.select("doc_id", features(F.col(text)).alias("f")).select("doc_id", "f.*")
+    return docs.select("doc_id", "mark", features(F.col(text)).alias("f")).select("doc_id", "mark", "f.*")
 
 
 def _rings(members: DataFrame, threshold: int) -> DataFrame:
@@ -228,16 +228,36 @@ def _rest_pairs(rings: DataFrame, key: list[str], classes: DataFrame, threshold:
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text); ``threshold`` above 50."""
+    return _grouped(docs, size, threshold, text).select("doc_id", "n_shingles", "component_id")
+
+
+def row_mark(text: str = "text") -> Column:
+    """Tells apart rows that share a ``doc_id`` or have none, by their text."""
+    return F.xxhash64(text)
+
+
+def repeated(docs: DataFrame, size: int = 5, threshold: int = 80, text: str = "text") -> DataFrame:
+    """(doc_id, mark) of the rows that are not the kept one of their component; ``mark`` is ``row_mark``.
+
+    Kept is the row of smallest ``doc_id``, a null one last; of texts that share this id, the one of smallest mark.
+    """
+    rows = _grouped(docs, size, threshold, text).where("n_shingles > 0")
+    own = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "mark")
+    return rows.where(~own.eqNullSafe(F.col("first"))).select("doc_id", "mark").distinct()
+
+
+def _grouped(docs: DataFrame, size: int, threshold: int, text: str) -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, first); ``first`` (absent, doc_id, mark) is the component's kept row."""
     if not 50 < threshold <= 100:
         raise ValueError("threshold is a percentage above 50")
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col(text).alias("text"))
+    docs = docs.select("doc_id", F.col(text).alias("text"), row_mark(text).alias("mark"))
     ranks = spark.sparkContext.broadcast(frequency_ranks(docs, "text", size))  # 2^16 numbers
     features = staged(_features(docs, "text", size, threshold, ranks), "features")
     classes = staged(
         features.where("n > 0")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("signature").alias("signature"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "mark")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("signature").alias("signature"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -272,16 +292,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, text: s
     links = links.union(staged(_ball_links(mixed, sets, threshold), "links"))
     labels = components(links)
 
-    named = _labelled(classes.select("key", "node", "doc"), labels)
-    least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    names = named.join(least, "component").select("key", "component_id")
+    named = _labelled(classes.select("key", "node", "first"), labels)
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    names = named.join(least, "component").select("key", "least")
     return (
-        features.select("doc_id", "n", "key")
+        features.select("doc_id", "mark", "n", "key")
         .join(names, "key", "left")
         .select(
             "doc_id",
+            "mark",
             F.col("n").cast("long").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.col("least").alias("first"),
         )
     )
 
@@ -295,7 +317,7 @@ def _sets(docs: DataFrame, classes: DataFrame, size: int, ranks) -> DataFrame:
             coded = [codes(t, size, ranks.value) for t in batch]
             yield pd.DataFrame({"key": [set_key(c) for c in coded], "shingles": [c.view(np.int64) for c in coded]})
 
-    wanted = classes.select(F.col("doc").alias("doc_id"), F.col("key").alias("wanted"), "node")
+    wanted = classes.select(F.col("first.doc_id").alias("doc_id"), F.col("key").alias("wanted"), "node")
     # Most texts need not move: a table of at most FILTER hash cells of the wanted ids is broadcast and keeps them back.
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER)).alias("cell")
     cells = F.broadcast(wanted.select(cell).distinct())
