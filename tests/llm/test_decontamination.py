@@ -105,3 +105,36 @@ def test_empty(spark, planted):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert dec.contaminated(none, bench).collect() == []
     assert dec.contaminated(docs, spark.createDataFrame([], "item_id long, text string")).collect() == []
+
+
+def test_candidates_lose_nothing_the_last_checks_keep():
+    """Paraphrases without their rarest words, and items shorter than a passage, against a search of every region."""
+    rng = random.Random(5)
+    common, rare = vocabulary(rng)[:60], ["r" + w for w in vocabulary(rng)]
+    draw = lambda n: [rng.choice(common) if rng.random() < 0.6 else rng.choice(rare) for _ in range(n)]
+    corpus = [" ".join(draw(120)) for _ in range(150)]
+    items = [(i, " ".join(draw(n))) for i, n in enumerate([40] * 25 + [7] * 25)]
+    counts = np.bincount(np.concatenate([dec._passage_cells(t) for t in corpus]), minlength=dec.CELLS)
+    idf = np.log(1 + counts.sum() / dec.WINDOW / (1 + counts)).astype(np.float32)
+    row, column, weight, n = dec._entries(corpus + [t for _, t in items], idf)
+    used, place = np.unique(column, return_inverse=True)
+    dense = np.zeros((n, len(used)))
+    np.add.at(dense, (row, place), weight)
+    basis = np.zeros((dec.CELLS, dec.RANK))
+    basis[used] = np.linalg.svd(dense, full_matrices=False)[2][: dec.RANK].T
+    basis = dec._half(basis)
+    index = dec.build_index(items, idf, basis)
+    expected = found = 0
+    for number, text in items:
+        w = text.split()
+        if len(w) > dec.WINDOW:
+            for i in sorted(range(len(w)), key=lambda i: w[i] not in rare)[: int(0.35 * len(w))]:
+                w[i] = f"new{i}"
+        leak = " ".join(draw(31 + number) + w + draw(50))
+        h, item, end = dec.words(leak), index.items[number], index.answers[number]
+        wide = len(item) // 4 + 4
+        regions = [h[max(b - wide, 0) : b + len(item) + wide] for b in range(len(h))]
+        if any(dec.common_length(item, r) >= dec.SAME * len(item) and dec.common_length(end, r) >= dec.ANSWERED * len(end) for r in regions):
+            expected += 1
+            found += number in [m[0] for m in dec.matches(leak, index, idf, basis)]
+    assert expected >= 40 and found >= 0.97 * expected, (found, expected)
