@@ -4,7 +4,7 @@ import hashlib
 import random
 
 from tests.conftest import SF_DIR
-from tradeops.llm import line_dedup, op9
+from tradeops.llm import line_dedup, op9, op9_runs
 from tradeops.workload import compare
 
 
@@ -68,3 +68,36 @@ def test_matches_twin(spark, duck_docs):
 def test_empty(spark):
     df = line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string, x int"))
     assert df.collect() == [] and df.columns == ["doc_id", "text", "x", "removed_lines"]
+
+
+def runs_brute(rows):
+    """{(doc_id, text): (text, removed)}: lines go that are in a pair of neighbours of an earlier place."""
+    first, out = {}, {}
+    for doc, text in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines, gone = text.split("\n"), set()
+        for i in range(len(lines) - 1):
+            if first.setdefault((lines[i], lines[i + 1]), (doc, i)) != (doc, i):
+                gone |= {i, i + 1}
+        out[doc, text] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone))
+    return out
+
+
+def test_runs_go_whole(spark):
+    rng = random.Random(4)
+    passage = [f"shared line {i}" for i in range(12)]
+    rows, planted = [(0, "\n".join(passage))], 0
+    for i in range(1, 40):
+        at, n = rng.randint(0, 6), rng.randint(2, 6)
+        rows.append((i, "\n".join([f"own {rng.random()}", *passage[at : at + n], f"end {rng.random()}"])))
+        planted += n
+    rows += [(100, ""), (101, None), (102, "\n\n\n"), (103, "one line"), (104, "one line"), (None, "\n".join(passage[:3])), (105, "a\nb"), (105, "a\nb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.dedup_runs(df).collect()
+    want = runs_brute(rows)
+    assert sorted(repr(tuple(r)) for r in got) == sorted(repr((d, *(want[d, t] if t is not None else (None, 0)))) for d, t in rows)
+    assert sum(r["removed_lines"] for r in got if r["doc_id"] in range(1, 40)) == planted
+    assert sum(r["removed_lines"] for r in line_dedup.dedup_lines(df).collect() if r["doc_id"] in range(1, 40)) < planted
+
+
+def test_runs_match_twin(spark, duck_docs):
+    assert compare.difference(op9_runs.run(spark, SF_DIR), duck_docs, op9_runs.SQL) is None

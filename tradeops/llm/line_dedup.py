@@ -5,6 +5,9 @@ modulo ``DIVISOR``, so boundaries follow content and come back in step after lin
 several lines that occurs more than once in the corpus is kept at its first place (smallest doc_id, then position) and
 removed elsewhere, if its bytes are those of the first place, not just its hash.
 
+``dedup_runs`` goes beyond chunks: a line goes if, with the line before or behind it, it is a pair that stands at an earlier
+place, so a repeated run of two lines or more goes whole, wherever chunks end. Each line taken out stays at an earlier place.
+
 Only hashes travel in the search: text is sent for chunks that repeat, and documents meet no other documents.
 
 Defined cases: a null text stays null; an empty one has one empty line and is kept; chunks of one line are never removed;
@@ -77,11 +80,39 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``removed_lines``."""
+    return _without(docs, repeated_chunks(_units(docs, text, chunked)), text, chunked)
+
+
+def _lines(text: Column) -> Column:
+    return F.transform(F.split(text, "\n", -1), lambda line: F.struct(F.lit(1).alias("lines"), line.alias("text")))
+
+
+def _pairs(text: Column) -> Column:
+    def pair(lines: Column) -> Column:
+        after = F.slice(lines, F.lit(2), F.size(lines) - 1)
+        return F.zip_with(F.slice(lines, F.lit(1), F.size(lines) - 1), after, lambda a, b: F.struct(F.lit(2).alias("lines"), F.concat(a, F.lit("\n"), b).alias("text")))
+
+    return _bound(F.split(text, "\n", -1), pair)
+
+
+def dedup_runs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with repeated runs of two lines or more taken out of ``text``, and ``removed_lines``."""
+    pairs = repeated_chunks(_units(docs, text, _pairs))
+    lines = pairs.select("doc_id", "row", F.explode(F.array(F.col("at"), F.col("at") + 1)).alias("at"))
+    return _without(docs, lines, text, _lines)
+
+
+def _units(docs: DataFrame, text: str, cut) -> DataFrame:
+    """(doc_id, row, at, lines, text) of the parts into which ``cut`` takes the texts."""
+    units = docs.where(F.col(text).isNotNull()).select("doc_id", F.xxhash64(text).alias("row"), F.posexplode(cut(F.col(text))))
+    return units.select("doc_id", "row", F.col("pos").alias("at"), "col.lines", "col.text")
+
+
+def _without(docs: DataFrame, places: DataFrame, text: str, cut) -> DataFrame:
+    """``docs`` without the parts of ``cut`` that stand at ``places`` (doc_id, row, at), and ``removed_lines``."""
     given = docs.columns
     docs = docs.withColumn("_row", F.xxhash64(text))
-    chunks = docs.where(F.col(text).isNotNull()).select("doc_id", F.col("_row").alias("row"), F.posexplode(chunked(F.col(text))))
-    chunks = chunks.select("doc_id", "row", F.col("pos").alias("at"), "col.lines", "col.text")
-    gone = repeated_chunks(chunks).groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("_gone"))
+    gone = places.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("_gone"))
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_of"), "_gone")
     marked = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]) & (docs["_row"] == gone["_of"]), "left")
 
@@ -100,7 +131,7 @@ def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return _bound(flags, use)
 
-    done = marked.withColumn("_done", F.when(F.col("_gone").isNotNull(), _bound(chunked(F.col(text)), clean)))
+    done = marked.withColumn("_done", F.when(F.col("_gone").isNotNull(), _bound(cut(F.col(text)), clean)))
     return done.select(
         *[F.coalesce("_done.text", F.col(text)).alias(text) if c == text else F.col(c) for c in given],
         F.coalesce("_done.lines", F.lit(0)).cast("long").alias("removed_lines"),
