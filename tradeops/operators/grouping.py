@@ -30,13 +30,16 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: list[str], how: str = "l
     return df.join(side, same_key(keys, renamed), how).drop(*renamed)
 
 
-def fanout_left_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+def fanout_left_join(
+    left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], only: Column | None = None
+) -> DataFrame:
     """Left join on (left column, right column) pairs whose right side may repeat a key very often.
 
     Adaptive execution cannot split a hot right side of an outer join, but both
     sides of an inner join. So matched rows come from an inner join and the rest
-    from an anti join with the distinct keys. ``left`` is evaluated twice: pass a
-    table or a staged result, not a long chain of operators.
+    from an anti join with the distinct keys. Rows of ``left`` outside ``only`` meet
+    nothing: they are kept as they are and never shuffled. Both sides are evaluated
+    more than once: pass tables or staged results, not long chains of operators.
     """
     cond, names = F.lit(True), [f"__k{i}" for i, _ in enumerate(pairs)]
     for a, b in pairs:
@@ -45,7 +48,11 @@ def fanout_left_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, s
     none = F.lit(True)
     for (a, _), n in zip(pairs, names):
         none = none & (F.col(a) == F.col(n))
-    return left.join(right, cond).unionByName(left.join(keys, none, "left_anti"), allowMissingColumns=True)
+    inside = left if only is None else left.where(only)
+    out = inside.join(right, cond).unionByName(inside.join(keys, none, "left_anti"), allowMissingColumns=True)
+    if only is None:
+        return out
+    return out.unionByName(left.where(~F.coalesce(only, F.lit(False))), allowMissingColumns=True)
 
 
 def attach_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import choose, flag_set, joined, part, surrogate_key
+from ..sources.staging import staged
 from .grouping import fanout_left_join
 
 MANUAL, AUTO = "MANUAL DOCS.", "AUTO DOCS."  # fixed values
@@ -79,25 +80,32 @@ def document_ledger(txns: DataFrame, mapping: DataFrame, side: Side) -> DataFram
     )
 
 
-def link_targets(documents: DataFrame, attachments: DataFrame, parent_type: str, vault: str, templates: Templates) -> DataFrame:
-    """(serial, domain) -> attachment link and vault link; one row per attachment."""
-    shared = attachments.where((F.col("parent_type") == parent_type) & flag_set("shared_with_customer")).select(
-        F.col("parent_id").alias("__parent"), F.col("id").alias("__attachment"), F.col("iss_domain").alias("__att_domain")
-    )
+def shared_attachments(attachments: DataFrame, parent_type: str, templates: Templates) -> DataFrame:
+    """(parent, link) of the attachments a customer may open, one row each."""
     url = F.when(
-        F.col("__attachment").isNotNull() & F.col("__att_domain").isNotNull(),
-        F.format_string(templates.attachment, F.col("__att_domain"), F.col("__attachment").cast("string")),
+        F.col("id").isNotNull() & F.col("iss_domain").isNotNull(),
+        F.format_string(templates.attachment, F.col("iss_domain"), F.col("id").cast("string")),
     )
-    named = documents.where(F.col("serial_no").isNotNull()).select("id", "serial_no", "iss_domain")
-    return (
-        fanout_left_join(named.withColumn("id", F.col("id").cast("long")), shared, [("id", "__parent")])
-        .select(
-            F.col("serial_no").alias("__serial"),
-            F.col("iss_domain").alias("__domain"),
-            url.alias("__url"),
-            F.format_string(vault, F.col("id").cast("string")).alias("__vault"),
+    shared = attachments.where((F.col("parent_type") == parent_type) & flag_set("shared_with_customer"))
+    return shared.select(F.col("parent_id").alias("__parent"), url.alias("__url"))
+
+
+def link_targets(invoices: DataFrame, credit_notes: DataFrame, attachments: DataFrame, templates: Templates) -> DataFrame:
+    """(kind, serial, domain) -> attachment link and vault link, one row per attachment; both kinds in one table.
+
+    Quirk kept: credit notes look their attachments up as if they were
+    invoices; their own attachment link is never published, only repeated rows.
+    """
+
+    def named(documents: DataFrame, kind: str, vault: str) -> DataFrame:
+        return documents.where(F.col("serial_no").isNotNull()).select(
+            F.lit(kind).alias("__kind"), F.col("id").cast("long").alias("__id"), F.col("serial_no").alias("__serial"),
+            F.col("iss_domain").alias("__domain"), F.format_string(vault, F.col("id").cast("string")).alias("__vault"),
         )
-    )
+
+    both = named(invoices, "invoice", templates.invoice).unionByName(named(credit_notes, "credit note", templates.credit_note))
+    out = fanout_left_join(both, shared_attachments(attachments, "IssuedInvoice", templates), [("__id", "__parent")])
+    return out.select("__kind", "__serial", "__domain", "__url", "__vault")
 
 
 def document_links(
@@ -107,12 +115,12 @@ def document_links(
     """Add `_url` and `_url_vault`.
 
     A document may carry very many attachments, so both joins tolerate hot keys
-    on the link side; ``docs`` is read four times and should be staged.
-    Quirk kept: credit notes look their attachments up as if they were
-    invoices; their own attachment link is never published.
+    on the link side. The links are one staged table; ``docs`` is read four times
+    and should be staged too.
     """
-    inv = link_targets(invoices, attachments, "IssuedInvoice", templates.invoice, templates)
-    cn = link_targets(credit_notes, attachments, "IssuedInvoice", templates.credit_note, templates).select(
+    targets = staged(link_targets(invoices, credit_notes, attachments, templates), "links")
+    inv = targets.where(F.col("__kind") == "invoice").drop("__kind")
+    cn = targets.where(F.col("__kind") == "credit note").select(
         F.col("__serial").alias("__cn_serial"), F.col("__domain").alias("__cn_domain"), F.col("__vault").alias("__cn_vault")
     )
     free_text = F.upper(part("_invoice", "-", 2)).isin("FTI", "CN")
@@ -148,7 +156,9 @@ def credit_note_match(docs: DataFrame, txns: DataFrame, side: Side, swapped: boo
     """Match manual documents with the credit notes issued against their voucher.
 
     Only vouchers that have credit notes can match, so the summed notes are
-    joined to their originals first (inner) and the few results to the documents.
+    joined to their originals first (inner) and the few results, staged, to the
+    manual documents. One invoice may stand for very many originals, so that join
+    tolerates hot keys on its right side; ``docs`` is read more than once and should be staged.
     Quirk kept for payables: account and company are compared crosswise.
     """
     swapped = side.vendor_is_account if swapped is None else swapped
@@ -167,13 +177,9 @@ def credit_note_match(docs: DataFrame, txns: DataFrame, side: Side, swapped: boo
         F.lit("MATCHED CN").alias("_credit_note_match_manual"), "_cancel_amount_manual",
     )
     account_is, company_is = (side.company_role, side.account_role) if swapped else (side.account_role, side.company_role)
-    cond = (
-        (F.col("_invoice") == F.col("__orig_invoice"))
-        & (F.col(account_is) == F.col("__cn_account"))
-        & (F.col(company_is) == F.col("__cn_company"))
-        & (F.col("_src") == MANUAL)
-    )
-    return docs.join(matched, cond, "left").drop("__orig_invoice", "__cn_account", "__cn_company")
+    pairs = [("_invoice", "__orig_invoice"), (account_is, "__cn_account"), (company_is, "__cn_company")]
+    out = fanout_left_join(docs, staged(matched, "credit-notes"), pairs, only=F.col("_src") == MANUAL)
+    return out.drop("__orig_invoice", "__cn_account", "__cn_company")
 
 
 def settlement_totals(txns: DataFrame, account: str) -> DataFrame:
@@ -194,7 +200,11 @@ def settlement_totals(txns: DataFrame, account: str) -> DataFrame:
 
 
 def settlement_split(docs: DataFrame, txns: DataFrame, side: Side, swapped: bool | None = None) -> DataFrame:
-    """Add settlement totals to journal documents posted by the logistics system."""
+    """Add settlement totals to journal documents posted by the logistics system.
+
+    An invoice may be posted very often, so the join to the journal documents tolerates hot keys on its right side;
+    ``docs`` is read more than once and should be staged.
+    """
     swapped = side.vendor_is_account if swapped is None else swapped
     totals = settlement_totals(txns, side.account)
     journal = txns.where(
@@ -213,13 +223,9 @@ def settlement_split(docs: DataFrame, txns: DataFrame, side: Side, swapped: bool
         "left",
     ).select("__j_invoice", "__j_account", "__j_company", "_amount_settle_negative", "_amount_settle_positive")
     account_is, company_is = (side.company_role, side.account_role) if swapped else (side.account_role, side.company_role)
-    cond = (
-        (F.col("_invoice") == F.col("__j_invoice"))
-        & (F.col(account_is) == F.col("__j_account"))
-        & (F.col(company_is) == F.col("__j_company"))
-        & (F.col("_src") == AUTO)
-    )
-    return docs.join(settled, cond, "left").drop("__j_invoice", "__j_account", "__j_company")
+    pairs = [("_invoice", "__j_invoice"), (account_is, "__j_account"), (company_is, "__j_company")]
+    out = fanout_left_join(docs, staged(settled, "settlements"), pairs, only=F.col("_src") == AUTO)
+    return out.drop("__j_invoice", "__j_account", "__j_company")
 
 
 def payment_side(voucher: Column | str) -> Column:

@@ -60,13 +60,18 @@ def login_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
     return grants(local, everyone, "iss_domain").orderBy("_email")
 
 
+def sales_ids(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Budgeted sellers' name keys, numbered in order."""
+    budget = tables["budget_sales"].select(F.upper(F.trim(squeeze(F.trim(F.col("sales_user"))))).alias("__key"))
+    return dense_ids(budget, "__key", "_id")
+
+
 def sales_entitlements(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Sales id x user: every budgeted seller sees the own id; global users see all, which is one row without an id.
 
     The ids equal those of the gross-profit report: both number the same names.
     """
-    budget = tables["budget_sales"].select(F.upper(F.trim(squeeze(F.trim(F.col("sales_user"))))).alias("__key"))
-    ids = dense_ids(budget, "__key", "_id")
+    ids = sales_ids(tables)
     mail = (
         tables["crm_users"]
         .groupBy(name_key("name").alias("__name"))

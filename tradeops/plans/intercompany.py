@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, clean_upper, joined, lacks, or_na, surely_matches, surrogate_key
+from ..operators.access import visible_to
 from ..operators.grouping import attach_totals
 from ..operators.recon import (
     CODE_LENGTH,
@@ -23,6 +24,7 @@ from ..operators.recon import (
     settlement_split,
 )
 from ..sources.staging import staged
+from .access_lists import ic_entitlements
 
 ACCRUAL_ACCOUNT = 21015  # fixed value
 LOAN_ACCOUNTS = (15002, 15003, 23002, 24101, 12200, 20200)  # fixed values
@@ -95,28 +97,44 @@ def ic_payments(tables: Mapping[str, DataFrame], not_accounts: tuple[int, ...] =
     )
 
 
-def _documents(tables: Mapping[str, DataFrame], txns: DataFrame, side: Side, templates: Templates, swapped: bool) -> DataFrame:
-    docs = staged(document_ledger(txns, tables["branch_domain"], side), "ledger-documents")
+def _documents(
+    tables: Mapping[str, DataFrame], txns: DataFrame, side: Side, templates: Templates, swapped: bool, viewer: str | None
+) -> DataFrame:
+    """A side's documents. Each step reads its input several times, so it is staged in between; rows stay narrow."""
+    docs = document_ledger(txns, tables["branch_domain"], side)
     published = docs.columns
+    if viewer is not None:
+        docs = visible_to(docs, ["_vendor", "_client"], ic_entitlements(tables), "_office", "_email", viewer)
+    docs = staged(docs, "ledger-documents")
+    docs = staged(credit_note_match(docs, txns, side, swapped), "matched-documents")
+    docs = staged(settlement_split(docs, txns, side, swapped), "settled-documents")
     docs = document_links(
         docs, tables["issued_invoices"], tables["issued_credit_notes"], tables["attachments"], templates
     )
-    docs = credit_note_match(docs, txns, side, swapped)
-    docs = settlement_split(docs, txns, side, swapped)
     return docs.select(
         *published, "_credit_note_match_manual", "_cancel_amount_manual", "_amount_settle_negative",
         "_amount_settle_positive", "_url", "_url_vault",
     )
 
 
-def ic_client_side(tables: Mapping[str, DataFrame], templates: Templates = Templates(), faithful: bool = True) -> DataFrame:
-    """Payables documents. ``faithful=False`` corrects the kept quirks: journal
-    documents get their own label, keys are compared straight, and rows without
-    any document are left out."""
+def ic_client_side(
+    tables: Mapping[str, DataFrame], templates: Templates = Templates(), faithful: bool = True, viewer: str | None = None
+) -> DataFrame:
+    """Payables documents, or those that ``viewer`` (an e-mail address of the office list) may see.
+
+    ``faithful=False`` corrects the kept quirks: journal documents get their own
+    label, keys are compared straight, and rows without any document are left out.
+    """
     side = PAYABLES if faithful else PAYABLES_CORRECTED
-    return _documents(tables, tables["vendor_transactions"], side, templates, swapped=faithful)
+    return _documents(tables, tables["vendor_transactions"], side, templates, faithful, viewer)
+
+
+def ic_vendor_side(tables: Mapping[str, DataFrame], templates: Templates = Templates(), viewer: str | None = None) -> DataFrame:
+    """Receivables documents, or those that ``viewer`` may see."""
+    return _documents(tables, tables["customer_transactions"], RECEIVABLES, templates, False, viewer)
 
 
-def ic_vendor_side(tables: Mapping[str, DataFrame], templates: Templates = Templates()) -> DataFrame:
-    """Receivables documents."""
-    return _documents(tables, tables["customer_transactions"], RECEIVABLES, templates, swapped=False)
+def ic_both_sides(tables: Mapping[str, DataFrame], templates: Templates = Templates(), faithful: bool = True) -> DataFrame:
+    """Documents of both ledgers; ``_side`` tells them apart."""
+    client = ic_client_side(tables, templates, faithful).withColumn("_side", F.lit("PAYABLES"))
+    return client.unionByName(ic_vendor_side(tables, templates).withColumn("_side", F.lit("RECEIVABLES")))
