@@ -11,7 +11,7 @@ from tradeops.functions import rules
 from tradeops.functions.dates import Age, as_of_date, month_label, whole_months
 from tradeops.functions.payload import container_counts, equipment_items, equipment_text, event_text, named_value, parse_payload
 from tradeops.functions.text import captured, joined, lacks, late_trim_key, name_key, part, surrogate_key
-from tradeops.operators.orders import rolled_light
+from tradeops.operators.orders import light_mask, rolled_light
 
 D = dt.date(2024, 5, 10)
 
@@ -143,9 +143,17 @@ def test_stage_lights(spark, stage, want, dates):
     ],
 )
 def test_rolled_light(spark, want, lines, red, yellow, other, green, dark, balance):
-    flags = {"__red": red, "__yellow": yellow, "__not_yellow": other, "__green": green, "__dark": dark}
-    values = {k: ("boolean", v) for k, v in flags.items()} | {"__lines": ("long", lines), "b": ("double", balance)}
-    assert one(spark, {"light": rolled_light("b")}, **values).light == want
+    bits = {1: red, 2: yellow, 4: green, 8: other, 0b11111 << 4: dark}
+    mask = None if lines is None else sum(bit for bit, seen in bits.items() if seen)
+    assert one(spark, {"light": rolled_light("m", "b")}, m=("int", mask), b=("double", balance)).light == want
+
+
+def test_light_mask(spark):
+    colours = ["red", "yellow", "green", "dark green", None]
+    values = {name: ("string", c) for name, c in zip(rules.STAGES, colours)}
+    assert one(spark, {"m": light_mask()}, **values).m == 1 | 2 | 4 | 8 | 16 << 3
+    assert one(spark, {"m": light_mask()}, **{name: ("string", "dark green") for name in rules.STAGES}).m == 8 | 0b11111 << 4
+    assert one(spark, {"m": light_mask()}, **{name: ("string", None) for name in rules.STAGES}).m == 0
 
 
 @pytest.mark.parametrize(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,46 +91,41 @@ def collapse_by_primary(
     )
 
 
-def stage_flags(stages: tuple[str, ...] = STAGES) -> list[Column]:
-    """Aggregates telling which colours occur among a group's lights."""
+# Bits of a row's lights. OTHER stands for any colour but yellow; above it, one bit a stage that is done.
+RED, YELLOW, GREEN, OTHER, DONE = 1, 2, 4, 8, 16
 
-    def seen(test) -> Column:
-        return reduce(lambda a, b: a | b, [F.coalesce(F.bool_or(test(F.col(s))), F.lit(False)) for s in stages])
 
-    everywhere = reduce(
-        lambda a, b: a & b, [F.coalesce(F.bool_or(F.col(s) == "dark green"), F.lit(False)) for s in stages]
-    )
-    return [
-        F.count("*").alias("__lines"),
-        seen(lambda s: s == "red").alias("__red"),
-        seen(lambda s: s == "yellow").alias("__yellow"),
-        seen(lambda s: s != "yellow").alias("__not_yellow"),
-        seen(lambda s: s == "green").alias("__green"),
-        everywhere.alias("__dark"),
-    ]
+def light_mask(stages: tuple[str, ...] = STAGES) -> Column:
+    """A row's lights as one integer; absent lights add nothing."""
+    mask = F.lit(0)
+    for i, s in enumerate(stages):
+        colour = F.col(s)
+        bits = F.when(colour == "red", RED | OTHER).when(colour == "yellow", YELLOW).when(colour == "green", GREEN | OTHER)
+        bits = bits.when(colour == "dark green", OTHER | DONE << i).when(colour.isNotNull(), OTHER).otherwise(0)
+        mask = mask.bitwiseOR(bits)
+    return mask
 
 
-def rolled_light(balance: Column | str) -> Column:
-    """Light of a whole order line from the colours of its shipped lines.
+def rolled_light(mask: Column | str, balance: Column | str, stages: int = len(STAGES)) -> Column:
+    """Light of a whole order line from the bits of its shipped lines, NULL where it has none.
 
     Quirk kept: with a balance left, any colour other than yellow also makes
     the line yellow.
     """
-    balance = F.col(balance) if isinstance(balance, str) else balance
-    no_lines = F.coalesce(F.col("__lines"), F.lit(0)) == 0
+    mask, balance = (F.col(c) if isinstance(c, str) else c for c in (mask, balance))
+    has = lambda bits: mask.bitwiseAND(F.lit(bits)) != 0
+    done = DONE * ((1 << stages) - 1)
     rules = [
-        (no_lines, "red"),
-        (F.col("__red"), "red"),
-        ((F.col("__yellow") | F.col("__not_yellow")) & (balance > 0), "yellow"),
-        (F.col("__green") & (balance == 0), "green"),
-        (F.col("__dark") & (balance == 0), "dark green"),
+        (mask.isNull() | has(RED), "red"),
+        (has(YELLOW | OTHER) & (balance > 0), "yellow"),
+        (has(GREEN) & (balance == 0), "green"),
+        ((mask.bitwiseAND(F.lit(done)) == done) & (balance == 0), "dark green"),
     ]
     return choose([(cond, F.lit(colour)) for cond, colour in rules])
 
 
 def light_rollup(masters: DataFrame, shipped: DataFrame, keys: list[str], balance: str, name: str,
                  stages: tuple[str, ...] = STAGES) -> DataFrame:
-    """Give each master line the light of its shipped lines."""
-    flags = shipped.groupBy(*keys).agg(*stage_flags(stages))
-    out = join_groups(masters, flags, keys).withColumn(name, rolled_light(balance))
-    return out.drop("__lines", "__red", "__yellow", "__not_yellow", "__green", "__dark")
+    """Give each master line the light of its shipped lines: one integer a row, one aggregate a key."""
+    masks = shipped.groupBy(*keys).agg(F.bit_or(light_mask(stages)).alias("__mask"))
+    return join_groups(masters, masks, keys).withColumn(name, rolled_light("__mask", balance, len(stages))).drop("__mask")

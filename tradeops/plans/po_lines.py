@@ -29,9 +29,11 @@ from ..sources.staging import staged
 from .tracking import (
     CHARGE_FX_DATE,
     CUSTOMS_FX_DATE,
+    LIGHT_LEVEL,
     LINE_LEVEL,
     PO_LINES,
     order_columns,
+    unit_dates,
     unit_domains,
     unit_facts,
     with_scores,
@@ -87,18 +89,20 @@ def order_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def line_units(
-    tables: Mapping[str, DataFrame], fx_date: dt.date = CHARGE_FX_DATE, customs_date: dt.date = CUSTOMS_FX_DATE
-) -> DataFrame:
-    """Facts of every linked unit. `__unit_row` tells rows apart once they are staged."""
+def _linked_units(tables: Mapping[str, DataFrame]) -> DataFrame:
     units = tables["freight_unit"].select(
         F.col("id").alias("_fo_id"), "unit_no", F.col("serial_no").alias("_fo_serial"),
         F.col("shipment_link").alias("_shipment_link"),
     )
-    pairs = unit_domains(tables["purchase_order_on_freight_unit"], tables["purchase_order_company"]).join(
-        units, F.col("__unit") == F.col("_fo_id"), "left"
-    )
-    df = unit_facts(tables, pairs, PO_LINES, fx_date, customs_date)
+    pairs = unit_domains(tables["purchase_order_on_freight_unit"], tables["purchase_order_company"])
+    return pairs.join(units, F.col("__unit") == F.col("_fo_id"), "left")
+
+
+def line_units(
+    tables: Mapping[str, DataFrame], fx_date: dt.date = CHARGE_FX_DATE, customs_date: dt.date = CUSTOMS_FX_DATE
+) -> DataFrame:
+    """Facts of every linked unit. `__unit_row` tells rows apart once they are staged."""
+    df = unit_facts(tables, _linked_units(tables), PO_LINES, fx_date, customs_date)
     return df.withColumns(
         {
             **{c: F.col(c).try_cast(QUANTITY) for c in ("_cbm", "_gw", "_chw", "_qnty")},
@@ -125,8 +129,10 @@ def with_unit_delivery(units: DataFrame, as_of) -> DataFrame:
     ).drop("__first", "__latest")
 
 
-def tracked_links(tables: Mapping[str, DataFrame], lines: DataFrame, units: DataFrame, as_of) -> DataFrame:
-    """Links of order lines to units with what the line-level rules need, and the lights."""
+def tracked_links(
+    tables: Mapping[str, DataFrame], lines: DataFrame, units: DataFrame, as_of, about: tuple[str, ...] = ("__unit_row", *LINE_LEVEL)
+) -> DataFrame:
+    """Links of order lines to units with what the line-level rules need ``about`` units, and the lights."""
     companies = tables["purchase_order_company"].select(
         F.col("id").alias("__company"), F.col("company_name").alias("_client_name"), F.col("iss_domain").alias("__dom")
     )
@@ -135,7 +141,7 @@ def tracked_links(tables: Mapping[str, DataFrame], lines: DataFrame, units: Data
         F.col("quantity").alias("_shipped"),
     )
     facts = with_unit_delivery(
-        units.select("__unit", "__domain", "__unit_row", "_fo_id", "_fo_serial", *LINE_LEVEL), as_of
+        units.select("__unit", "__domain", "_fo_id", "_fo_serial", *about), as_of
     )
     df = (
         links.join(companies, F.col("purchase_order_company_id") == F.col("__company"))
@@ -146,6 +152,12 @@ def tracked_links(tables: Mapping[str, DataFrame], lines: DataFrame, units: Data
     return df.withColumns(stage_lights(as_of))
 
 
+def lit_links(tables: Mapping[str, DataFrame], lines: DataFrame, as_of) -> DataFrame:
+    """Links of order lines to units with their lights, from payload dates alone."""
+    units = staged(unit_dates(tables, _linked_units(tables)), "unit-dates")
+    return tracked_links(tables, lines, units, as_of, tuple(LIGHT_LEVEL))
+
+
 def with_order_delivery(df: DataFrame, as_of) -> DataFrame:
     """First and current expected delivery per order; an arrival counts once past."""
     arrived = F.when(F.col("_arrival_date") < as_of, F.col("_arrival_date"))

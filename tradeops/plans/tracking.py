@@ -110,6 +110,13 @@ _origin_country _country_lead_time __void
 """.split()
 
 
+# What the lights and expected deliveries read of a unit: dates of its payload alone.
+LIGHT_LEVEL = """
+_eta _eta_simple _eta_wakeo _etd _etd_wakeo _pta _ptd _crd _del _departure_date _departure_date_actual
+_arrival_date _arrival_date_actual _goods_cleared_destination
+""".split()
+
+
 def unit_domains(links: DataFrame, companies: DataFrame) -> DataFrame:
     """The (freight unit, ordering domain) pairs that occur on order lines."""
     c = companies.select(F.col("id").alias("__company"), F.col("iss_domain").alias("__domain"))
@@ -244,6 +251,13 @@ def with_carrier(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     return carrier_lookup(df, tables["carrier_shipping"], "__carrier")
 
 
+def unit_dates(tables: Mapping[str, DataFrame], pairs: DataFrame) -> DataFrame:
+    """`LIGHT_LEVEL` of each unit as seen from an ordering domain; no plan, place, carrier or charge is read."""
+    df = resolve_payload(pairs, tables["freight_unit_enrich"], "unit_no", "__domain")
+    df = with_payload_dates(df.withColumn("_p", parse_payload("_payload")).drop("_payload"))
+    return df.select("__unit", "__domain", "_fo_id", "_fo_serial", *LIGHT_LEVEL)
+
+
 def unit_facts(
     tables: Mapping[str, DataFrame], pairs: DataFrame, variant: Variant, fx_date: dt.date, customs_date: dt.date
 ) -> DataFrame:
@@ -297,6 +311,6 @@ def with_scores(df: DataFrame, variant: Variant, as_of) -> DataFrame:
 
 
 __all__ = [
-    "CHARGE_FX_DATE", "CUSTOMS_FX_DATE", "FREIGHT_ORDERS", "LINE_LEVEL", "PO_LINES", "Variant", "order_columns",
-    "unit_domains", "unit_facts", "with_scores",
+    "CHARGE_FX_DATE", "CUSTOMS_FX_DATE", "FREIGHT_ORDERS", "LIGHT_LEVEL", "LINE_LEVEL", "PO_LINES", "Variant",
+    "order_columns", "unit_dates", "unit_domains", "unit_facts", "with_scores",
 ]

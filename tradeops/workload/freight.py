@@ -45,7 +45,7 @@ from ..operators.orders import collapse_by_primary, light_rollup as roll_lights,
 from ..plans.freight_orders import COLUMNS as FREIGHT_COLUMNS
 from ..plans.freight_orders import FROM_PRIMARY, LARGEST, freight_order_view, freight_units, shipped_lines
 from ..plans.po_lines import COLUMNS as LINE_COLUMNS
-from ..plans.po_lines import line_units, master_rows, order_lines, po_line_view, tracked_links, with_order_delivery
+from ..plans.po_lines import lit_links, master_rows, order_lines, po_line_view, with_order_delivery
 from ..plans.sla import country_sla as sla_by_country
 from ..plans.sla import supplier_sla as sla_by_supplier
 from ..plans.tracking import CHARGE_FX_DATE, CUSTOMS_FX_DATE
@@ -189,7 +189,7 @@ def status_machine(t):
 
 
 def _tracked(t):
-    return tracked_links(t, order_lines(t), staged(line_units(t), "line-units"), as_of_date(AS_OF))
+    return lit_links(t, order_lines(t), as_of_date(AS_OF))
 
 
 _LINK = "l:__line,_line_no,_freight_unit_id n2:_shipped"
@@ -215,8 +215,9 @@ from masters left join flags on k1 = _po_no_ekporef and k2 = _line_no
 """,
 )
 def light_rollup(t):
-    masters = master_rows(t, order_lines(t))
-    return roll_lights(masters, _tracked(t), ["_po_no_ekporef", "_line_no"], "_balance_outer_qnty", "_06_expt_status")
+    lines = staged(order_lines(t), "order-lines")
+    shipped = lit_links(t, lines, as_of_date(AS_OF))
+    return roll_lights(master_rows(t, lines), shipped, ["_po_no_ekporef", "_line_no"], "_balance_outer_qnty", "_06_expt_status")
 
 
 # ------------------------------------------------------------- payload operators
