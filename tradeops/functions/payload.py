@@ -53,8 +53,32 @@ def parse_payload(c: Column | str) -> Column:
     return F.from_json(col(c), PAYLOAD)
 
 
-def serial_of(c: Column | str) -> Column:
-    return F.get_json_object(col(c), "$.serial_no")
+# The same, with the text of a payload that is no valid JSON of this form.
+CHECKED = T.StructType([*PAYLOAD.fields, T.StructField("_damaged", T.StringType())])
+
+
+def checked_payload(c: Column | str) -> Column:
+    """Like `parse_payload`, with a field `_damaged` that is NULL for a sound text."""
+    return F.from_json(col(c), CHECKED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_damaged"})
+
+
+def payload_state(text: Column | str, parsed: Column | str) -> Column:
+    """'absent' (no text), 'damaged' (no sound JSON), 'unnamed' (names no shipment) or 'named'."""
+    parsed = col(parsed)
+    return (
+        F.when(F.trim(F.coalesce(col(text), F.lit(""))) == "", "absent")
+        .when(parsed.isNull() | parsed["_damaged"].isNotNull(), "damaged")
+        .when(parsed["serial_no"].isNull(), "unnamed")
+        .otherwise("named")
+    )
+
+
+def repeated_names(pairs: Column | str, names: list[str]) -> Column:
+    """How many entries of {name, value} lists repeat one of ``names``; only the first of each is read."""
+    extra = F.lit(0)
+    for name in names:
+        extra = extra + F.greatest(named_count(pairs, name) - 1, F.lit(0))
+    return F.coalesce(extra, F.lit(0))
 
 
 def payload_or_plan(serial: Column | str, from_payload: Column | str, planned: Column | str) -> Column:

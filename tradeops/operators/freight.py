@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.payload import payload_or_plan
+from ..functions.payload import CUSTOM_DATES, checked_payload, parse_payload, payload_or_plan, payload_state, repeated_names
 from ..functions.text import joined, part
 from .grouping import times
+from .ranking import list_rows
 
 LAND_PORT = "Jebel Ali"  # fixed value: the one land gateway
 UNKNOWN_PLACE = "TBA"  # fixed value: placeholder for places not yet known
@@ -18,28 +19,60 @@ def distinct_links(links: DataFrame) -> DataFrame:
     return links.select("purchase_order_id", "freight_unit_id", "purchase_order_company_id").distinct()
 
 
-def payload_arms(enrich: DataFrame) -> DataFrame:
-    """(unit_no, domain, payload) for both sides of a unit's shipment."""
-    own = enrich.select("unit_no", F.col("iss_domain").alias("domain"), F.col("shipment_response").alias("payload"))
-    remote = enrich.select(
-        "unit_no", F.col("remote_iss_domain").alias("domain"), F.col("remote_shipment_response").alias("payload")
-    )
-    return own.unionByName(remote).where(F.col("domain").isNotNull())
+SIDES = (("own", "iss_domain", "shipment_response"), ("remote", "remote_iss_domain", "remote_shipment_response"))
+
+
+def payload_sides(enrich: DataFrame, own: str = SIDES[0][2], remote: str = SIDES[1][2], kept: tuple[str, ...] = ("unit_no",)) -> DataFrame:
+    """(kept.., side, domain, payload): both sides of a unit's shipment as rows, from one scan of the unit."""
+    pairs = [
+        F.struct(F.lit(side).alias("side"), F.col(domain).alias("domain"), F.col(payload).alias("payload"))
+        for (side, domain, _), payload in zip(SIDES, (own, remote))
+    ]
+    return enrich.select(*kept, F.inline(F.array(*pairs)))
+
+
+def payload_arms(enrich: DataFrame, own: str = SIDES[0][2], remote: str = SIDES[1][2]) -> DataFrame:
+    """(unit_no, domain, payload) for both sides of a unit's shipment; ``own`` and ``remote`` name its payloads."""
+    return payload_sides(enrich, own, remote).where(F.col("domain").isNotNull()).drop("side")
+
+
+def parsed_units(enrich: DataFrame) -> DataFrame:
+    """Units with both payloads parsed, each text once: `__own` and `__remote` beside the planning columns.
+
+    Staged, it serves as payload of either side and as plan, each reading the fields it needs.
+    """
+    parsed = enrich.withColumns({"__own": parse_payload(SIDES[0][2]), "__remote": parse_payload(SIDES[1][2])})
+    return parsed.drop(SIDES[0][2], SIDES[1][2])
 
 
-def resolve_payload(units: DataFrame, enrich: DataFrame, unit: str, domain: str, name: str = "_payload") -> DataFrame:
+def resolve_payload(
+    units: DataFrame, enrich: DataFrame, unit: str, domain: str, name: str = "_payload",
+    own: str = SIDES[0][2], remote: str = SIDES[1][2],
+) -> DataFrame:
     """Give each unit the payload of the side its ordering company's domain matches.
 
     Own and remote side can both match (two rows); with neither the payload is
-    NULL. One equi-join over the stacked sides instead of a correlated union.
+    NULL. One equi-join over the two sides instead of a correlated union.
     """
-    arms = payload_arms(enrich).select(
+    arms = payload_arms(enrich, own, remote).select(
         F.col("unit_no").alias("__arm_unit"), F.col("domain").alias("__arm_domain"), F.col("payload").alias(name)
     )
     cond = (F.col(unit) == F.col("__arm_unit")) & (F.col(domain) == F.col("__arm_domain"))
     return units.join(arms, cond, "left").drop("__arm_unit", "__arm_domain")
 
 
+def payload_defects(enrich: DataFrame) -> DataFrame:
+    """(unit_no, side, state, repeated) of both payloads of every unit: see `payload_state` and `repeated_names`.
+
+    Without it a text that is no JSON looks like a unit that has not shipped.
+    """
+    rows = payload_sides(enrich).withColumn("__p", checked_payload("payload"))
+    return rows.select(
+        "unit_no", "side", payload_state("payload", "__p").alias("state"),
+        repeated_names("__p.custom_dates", list(CUSTOM_DATES.values())).alias("repeated"),
+    )
+
+
 def places(ports: DataFrame, airports: DataFrame, port_names: DataFrame) -> DataFrame:
     """One row per place code with everything the lookups need.
 
@@ -180,6 +213,14 @@ def inner_quantity_text(links: DataFrame, lines: DataFrame, sep: str = " | ") ->
     )
 
 
+def inner_quantity_rows(links: DataFrame, lines: DataFrame) -> DataFrame:
+    """(freight_unit_id, position, value, times): what a unit carries, '<order> - <item> - <quantity>', as child rows."""
+    items = lines.select(F.col("id").alias("__line"), "po_no", "item_code")
+    value = joined("po_no", F.lit(" - "), "item_code", F.lit(" - "), "quantity")
+    rows = links.join(items, F.col("purchase_order_id") == F.col("__line"), "left").withColumn("value", value)
+    return list_rows(rows, ["freight_unit_id"], "value")
+
+
 def cargo_ready_estimates(details: DataFrame) -> DataFrame:
     """Latest 'Estimated Cargo Date' per shipment serial from tracking details."""
     updates = F.from_json("statuses", "array<struct<status:string,date:string>>")

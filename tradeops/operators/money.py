@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_label
 from ..functions.text import clean_upper, flag_set, part
 from .grouping import join_groups, times
+from .ranking import list_rows
 
 LOCAL_CURRENCY = "AED"  # fixed value
 CHARGE_FX_DATE = dt.date(2025, 3, 13)  # fixed value: snapshot used for charges
@@ -83,6 +84,30 @@ def charge_lines(
     )
 
 
+def with_units(shipments: DataFrame, units: DataFrame | None) -> DataFrame:
+    """Shipments that a freight unit names."""
+    if units is None:
+        return shipments
+    named = units.select(F.col("shipment_serial_no").alias("__serial")).where(F.col("__serial").isNotNull()).distinct()
+    return shipments.join(named, F.col("serial_no") == F.col("__serial"), "left_semi")
+
+
+def charge_lists(
+    shipments: DataFrame, items: DataFrame, mapping: DataFrame, invoices: DataFrame, rates: DataFrame,
+    currencies: DataFrame, units: DataFrame | None = None, fx_date: dt.date = CHARGE_FX_DATE,
+) -> DataFrame:
+    """(_ship_id, list, position, value, times): the lists of `charge_pivot` as child rows, however long they are."""
+    rows = charge_lines(with_units(shipments, units), items, mapping, invoices, rates, currencies, fx_date)
+    aux, other = F.col("__class") == AUX_CLASS, F.col("__class") != AUX_CLASS
+    lists = {
+        "_aux_charge_type": (aux, "extra_info"), "_issued_invoices": (other, "__inv_serial"), "_issue_date": (other, "__month"),
+        "_addl_issued_invoices": (aux, "__inv_serial"), "_addl_issue_date": (aux, "__month"),
+    }
+    entries = [F.struct(F.lit(name).alias("list"), F.when(cond, F.col(c)).alias("value")) for name, (cond, c) in lists.items()]
+    entries_ = rows.select(F.col("__ship").alias("_ship_id"), F.inline(F.array(*entries)))
+    return list_rows(entries_, ["_ship_id", "list"], "value")
+
+
 def charge_pivot(
     shipments: DataFrame, items: DataFrame, mapping: DataFrame, invoices: DataFrame, rates: DataFrame,
     currencies: DataFrame, units: DataFrame | None = None, fx_date: dt.date = CHARGE_FX_DATE,
@@ -94,11 +119,7 @@ def charge_pivot(
     Amounts and texts are first reduced per (shipment, class, texts), so a
     shipment's final row is built from distinct texts, not from all its items.
     """
-    wanted = shipments if units is None else shipments.join(
-        units.select(F.col("shipment_serial_no").alias("__serial")).where(F.col("__serial").isNotNull()).distinct(),
-        F.col("serial_no") == F.col("__serial"),
-        "left_semi",
-    )
+    wanted = with_units(shipments, units)
     is_usd = F.col("__item_cur") == "USD"
     value = F.col("selling_rate") * F.col("selling_quantity")
     local = value * F.col("selling_local_exchange_rate")

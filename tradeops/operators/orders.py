@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import STAGES, pieces_of
 from ..functions.text import choose
 from .grouping import first_row_order, join_groups
-from .ranking import row_numbers
+from .ranking import list_rows, row_numbers
 
 
 def number_lines(lines: DataFrame, po: str = "po_no", line: str = "id", name: str = "_line_no") -> DataFrame:
@@ -91,6 +91,24 @@ def collapse_by_primary(
     )
 
 
+def order_list_rows(df: DataFrame, key: str, split: str, order: list[str], texts: list[str], others: str) -> DataFrame:
+    """(key, list, position, value): the lists of `collapse_by_primary` as child rows.
+
+    The first row in ``order`` is found as one narrow value a key and joined back; ``others`` lists the ``split`` values of
+    the other rows.
+    """
+    rank = first_row_order(*order)
+    narrow = df.select(key, split, *texts, rank.alias("__rank"))
+    lead = narrow.groupBy(F.col(key).alias("__key")).agg(F.min("__rank").alias("__lead"))
+    counted = narrow.groupBy(key, split).agg(F.min("__rank").alias("__rank"), F.count("*").alias("__n"))
+    led = counted.join(lead, F.col(key).eqNullSafe(F.col("__key")), "left")
+    secondary = led.where(~((F.col("__rank") == F.col("__lead")) & (F.col("__n") == 1)))
+    arms = [secondary.select(key, F.lit(others).alias("list"), F.col(split).alias("value"))]
+    named = [F.struct(F.lit(t).alias("list"), F.col(t).alias("value")) for t in texts]
+    arms.append(narrow.select(key, F.inline(F.array(*named))))
+    return list_rows(arms[0].unionByName(arms[1]), [key, "list"], "value", distinct=True).drop("times")
+
+
 # Bits of a row's lights. OTHER stands for any colour but yellow; above it, one bit a stage that is done.
 RED, YELLOW, GREEN, OTHER, DONE = 1, 2, 4, 8, 16
 

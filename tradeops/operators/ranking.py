@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .grouping import join_groups
+from .grouping import join_groups, times
 
 
 def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str, stage=staged) -> DataFrame:
@@ -38,6 +38,42 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str, sta
     return out.select(*given, (F.col("__before") + F.col("__rank")).cast("long").alias(name))
 
 
+def running_totals(df: DataFrame, keys: list[str], order: list[str], amount: str, name: str, stage=staged) -> DataFrame:
+    """Sum of ``amount`` over the rows of the group that come before, in `row_numbers`' order and by its ranges.
+
+    A range's own total is added up before it is shuffled, so a hot group is many ranges and one row of each.
+    """
+    given = df.columns
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    rows = stage(df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in keys], *sort).withColumn("__range", F.spark_partition_id()), "ranges")
+    totals = rows.groupBy(*keys, "__range").agg(F.sum(amount).alias("__sum"))
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.withColumn("__before", F.coalesce(F.sum("__sum").over(earlier), F.lit(0))).drop("__sum")
+    inside = Window.partitionBy(*keys, "__range").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("__inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    out = join_groups(summed, before, [*keys, "__range"])
+    return out.select(*given, (F.col("__before") + F.col("__inside")).alias(name))
+
+
+def list_rows(df: DataFrame, keys: list[str], value: str, distinct: bool = False, stage=staged) -> DataFrame:
+    """A group's non-NULL values in sorted order as child rows (keys.., position, ``value``, times).
+
+    A value that occurs several times is one row with its first position and how often it stands there, so neither a cell
+    nor a task ever holds a list; with ``distinct`` every value counts once. `list_text` makes the text of short lists.
+    """
+    seen = df.where(F.col(value).isNotNull()).groupBy(*keys, value)
+    counted = seen.agg(F.lit(1).cast("long").alias("times")) if distinct else seen.agg(F.count("*").alias("times"))
+    placed = running_totals(counted, keys, [value], "times", "__before", stage)
+    return placed.select(*keys, (F.col("__before") + 1).alias("position"), value, "times")
+
+
+def list_text(rows: DataFrame, keys: list[str], value: str, sep: str, name: str) -> DataFrame:
+    """One text a group from `list_rows`. The text is one cell: for groups whose lists are known to be short."""
+    entry = F.struct("position", times(F.col(value), F.col("times"), sep).alias("text"))
+    cells = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("__cells"))
+    return cells.select(*keys, F.array_join(F.col("__cells.text"), sep).alias(name))
+
+
 def dense_ids(names: DataFrame, column: str, id_name: str, stage=staged) -> DataFrame:
     """Distinct names numbered 1.. in name order; the list is staged, so its users share one numbering."""
     return stage(row_numbers(names.select(column).distinct(), [], [column], id_name, stage), "ids")

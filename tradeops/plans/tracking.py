@@ -26,7 +26,6 @@ from ..functions.payload import (
     CUSTOM_DATES,
     parse_payload,
     payload_or_plan,
-    serial_of,
     with_payload_dates,
 )
 from ..functions.rules import (
@@ -49,12 +48,14 @@ from ..operators.freight import (
     destination_place,
     labelled_documents,
     origin_place,
+    parsed_units,
     places,
     resolve_payload,
     transit_master,
 )
 from ..operators.grouping import fanout_left_join
 from ..operators.money import CHARGE_FX_DATE, CUSTOMS_FX_DATE, charge_pivot, customs_values
+from ..sources.staging import staged
 
 DELIVERY_NOTE = "AGI"  # fixed value: attachment label
 
@@ -129,13 +130,9 @@ def unit_domains(links: DataFrame, companies: DataFrame) -> DataFrame:
     )
 
 
-def with_payload(df: DataFrame, enrich: DataFrame, variant: Variant) -> DataFrame:
-    """Resolve each unit's payload and flatten it into published columns.
-
-    The JSON text is parsed once and dropped here, before any wide join.
-    """
-    df = resolve_payload(df, enrich, "unit_no", "__domain")
-    df = with_payload_dates(df.withColumn("_p", parse_payload("_payload")).drop("_payload"))
+def with_payload(df: DataFrame, parsed: DataFrame, variant: Variant) -> DataFrame:
+    """Resolve each unit's payload (of `parsed_units`) and flatten it into published columns, before any wide join."""
+    df = with_payload_dates(resolve_payload(df, parsed, "unit_no", "__domain", "_p", "__own", "__remote"))
     df = df.withColumn("__items", equipment_items("_p.equipment"))
     return df.withColumns(
         {
@@ -161,11 +158,9 @@ def with_payload(df: DataFrame, enrich: DataFrame, variant: Variant) -> DataFram
     ).drop("_p", "__items")
 
 
-def with_plan(df: DataFrame, enrich: DataFrame, variant: Variant) -> DataFrame:
+def with_plan(df: DataFrame, parsed: DataFrame, variant: Variant) -> DataFrame:
     """Join the unit's planning data; columns are prefixed ``fe_``."""
-    plan = enrich.withColumns(
-        {"__in": serial_of("shipment_response"), "__out": serial_of("remote_shipment_response")}
-    ).drop("shipment_response", "remote_shipment_response")
+    plan = parsed.withColumns({"__in": F.col("__own.serial_no"), "__out": F.col("__remote.serial_no")}).drop("__own", "__remote")
     plan = plan.select(*[F.col(c).alias(f"fe_{c}") for c in plan.columns])
     df = df.join(plan, F.col("unit_no") == F.col("fe_unit_no"), "left")
     serial = "_shipment_serial_iss_job"
@@ -266,8 +261,9 @@ def unit_facts(
     A pair has one row, or several where the sources themselves do (both sides
     of a shipment match, or a lookup lists a key twice).
     """
-    df = with_payload(pairs, tables["freight_unit_enrich"], variant)
-    df = with_plan(df, tables["freight_unit_enrich"], variant)
+    parsed = staged(parsed_units(tables["freight_unit_enrich"]), "parsed-units")
+    df = with_payload(pairs, parsed, variant)
+    df = with_plan(df, parsed, variant)
     df = with_shipment_facts(df, shipment_facts(tables, fx_date, customs_date))
     df = with_carrier(df, tables)
     df = with_places(df, tables)

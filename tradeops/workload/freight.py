@@ -34,14 +34,19 @@ from ..operators.freight import (
     carrier_lookup,
     destination_place,
     distinct_links,
+    inner_quantity_rows,
     inner_quantity_text,
     labelled_documents,
     origin_place,
+    payload_arms,
+    payload_defects as find_defects,
     places,
     resolve_payload,
 )
 from ..operators.grouping import attach_totals, lookup_table, text_list
-from ..operators.orders import collapse_by_primary, light_rollup as roll_lights, number_lines, remaining_quantity
+from ..operators.money import charge_lists
+from ..operators.orders import collapse_by_primary, light_rollup as roll_lights, number_lines, order_list_rows, remaining_quantity
+from ..operators.ranking import list_rows
 from ..plans.freight_orders import COLUMNS as FREIGHT_COLUMNS
 from ..plans.freight_orders import FROM_PRIMARY, LARGEST, freight_order_view, freight_units, shipped_lines
 from ..plans.po_lines import COLUMNS as LINE_COLUMNS
@@ -52,6 +57,7 @@ from ..plans.tracking import CHARGE_FX_DATE, CUSTOMS_FX_DATE
 from ..sources.staging import staged
 from . import freight_sql as twin
 from .base import AS_OF, query
+from .finance import CHARGES_SQL
 
 
 def kinds(columns: list[str]) -> str:
@@ -286,8 +292,6 @@ def json_min_event(t):
     "with " + twin.payload_sql(" | ") + """ select *, eq_text as equipment, replace(eq_text, '"', '') as bare from pay where pd is not null""",
 )
 def container_counts(t):
-    from ..operators.freight import payload_arms
-
     arms = payload_arms(t["freight_unit_enrich"]).select(
         F.col("unit_no").alias("pu"), F.col("domain").alias("pd"), parse_payload("payload").alias("_p")
     )
@@ -547,3 +551,99 @@ def text_lists(t):
     first = lookup_table(c, "c_mktsegment", ["c_custkey"]).select(F.col("c_mktsegment").alias("k2"), F.col("c_custkey").alias("biggest"))
     return nations.join(balances, F.col("c_mktsegment") == F.col("k"), "left").join(first, F.col("c_mktsegment") == F.col("k2"), "left")
 
+
+
+def _placed(rows: str, keys: str) -> str:
+    """Child rows (keys, value, times) with the position where each value begins."""
+    return f"""select *, 1 + coalesce(sum(times) over (partition by {keys} order by value rows between unbounded preceding and 1 preceding), 0) as position
+  from ({rows}) counted"""
+
+
+@query(
+    "s:c_mktsegment,value l:position,times",
+    _placed("""select c_mktsegment, cast(cast(floor(c_acctbal / 100) as bigint) as varchar) as value, count(*) as times from customer
+  where c_acctbal is not null group by all""", "c_mktsegment"),
+)
+def text_list_rows(t):
+    rows = t["customer"].withColumn("value", F.floor(F.col("c_acctbal") / 100).cast("string"))
+    return list_rows(rows, ["c_mktsegment"], "value")
+
+
+@query(
+    "l:_ship_id,position,times s:list,value",
+    "with " + CHARGES_SQL + """, lines as (
+  select ship as _ship_id, unnest([
+    {'list': '_aux_charge_type', 'value': case when category = 'Ancillary Charge' then info end},
+    {'list': '_issued_invoices', 'value': case when category <> 'Ancillary Charge' then inv end},
+    {'list': '_issue_date', 'value': case when category <> 'Ancillary Charge' then mon end},
+    {'list': '_addl_issued_invoices', 'value': case when category = 'Ancillary Charge' then inv end},
+    {'list': '_addl_issue_date', 'value': case when category = 'Ancillary Charge' then mon end}], recursive := true)
+  from sorted_items)
+""" + _placed("select _ship_id, list, value, count(*) as times from lines where value is not null group by all", "_ship_id, list"),
+)
+def charge_list_rows(t):
+    return charge_lists(
+        t["shipments_ops"], t["cost_revenue_items"], t["charge_service_mapping"], t["issued_invoices"],
+        t["snapshot_rates"], t["domain_currency"], t["freight_unit"],
+    )
+
+
+@query(
+    "l:freight_unit_id,position,times s:value",
+    _placed("""select freight_unit_id, po_no || ' - ' || item_code || ' - ' || cast(quantity as varchar) as value, count(*) as times
+  from @purchase_order_on_freight_unit join @purchase_order_line on id = purchase_order_id
+  where po_no is not null and item_code is not null and quantity is not null group by all""", "freight_unit_id"),
+)
+def inner_qty_rows(t):
+    return inner_quantity_rows(t["purchase_order_on_freight_unit"], t["purchase_order_line"])
+
+
+_ORDER_RANK = """row_number() over (partition by l_orderkey order by case when l_partkey % 9 = 0 then null else cast(l_shipdate as date) end nulls last,
+    l_partkey, l_suppkey, l_linenumber)"""
+
+
+@query(
+    "l:l_orderkey,position s:list,value",
+    f"""
+with r as (select l_orderkey, l_returnflag, l_linestatus, 'F' || cast(l_linenumber as varchar) as part, {_ORDER_RANK} as rn from lineitem),
+lists as (
+  select l_orderkey, 'others' as list, part as value from r where rn <> 1
+  union select l_orderkey, 'l_returnflag', l_returnflag from r
+  union select l_orderkey, 'l_linestatus', l_linestatus from r)
+select l_orderkey, list, value, row_number() over (partition by l_orderkey, list order by value) as position from lists where value is not null
+""",
+)
+def order_list_children(t):
+    rows = t["lineitem"].withColumns(
+        {
+            "part": F.concat(F.lit("F"), F.col("l_linenumber").cast("string")),
+            "shipped": F.when(F.col("l_partkey") % 9 != 0, F.col("l_shipdate").cast("date")),
+        }
+    )
+    order = ["shipped", "l_partkey", "l_suppkey", "l_linenumber"]
+    return order_list_rows(rows, "l_orderkey", "part", order, ["l_returnflag", "l_linestatus"], "others")
+
+
+_ALL_NAMES = ", ".join(f"'{label}'" for label in CUSTOM_DATES.values())
+
+
+@query(
+    "s:unit_no,side,state l:repeated",
+    f"""
+with sides as (
+  select unit_no, 'own' as side, case when id % 130 = 0 then left(shipment_response, length(shipment_response) - 7) else shipment_response end as p
+  from @freight_unit_enrich
+  union all select unit_no, 'remote', remote_shipment_response from @freight_unit_enrich),
+sound as (select *, case when json_valid(p) then p end as j from sides),
+dates as (select *, from_json(json_extract(j, '$.custom_dates'), '[{{"name":"VARCHAR","value":"VARCHAR"}}]') as cd from sound)
+select unit_no, side, case when coalesce(trim(p), '') = '' then 'absent' when j is null then 'damaged'
+    when json_extract_string(j, '$.serial_no') is null then 'unnamed' else 'named' end as state,
+  coalesce(list_sum(list_transform([{_ALL_NAMES}], lambda n: greatest(len(list_filter(cd, lambda x: x.name = n)) - 1, 0))), 0) as repeated
+from dates
+""",
+)
+def payload_defects(t):
+    # Some texts are cut short, as a broken transfer would leave them.
+    short = F.expr("left(shipment_response, length(shipment_response) - 7)")
+    damaged = F.when(F.col("id") % 130 == 0, short).otherwise(F.col("shipment_response"))
+    return find_defects(t["freight_unit_enrich"].withColumn("shipment_response", damaged))
