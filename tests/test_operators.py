@@ -12,11 +12,11 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tradeops.operators.access import any_of_join, apply_entitlements, codes_of, grants, observed_pairs, viewers
+from tradeops.operators.access import any_of_join, apply_entitlements, codes_of, grants, observed_pairs, rows_seen, viewers, visible_to
 from tradeops.operators.daygrain import as_of_join, previous_day, trailing_max
 from tradeops.operators.grouping import attach_totals, fanout_left_join, in_any, lookup_table, text_list
-from tradeops.operators.orders import collapse_by_primary
-from tradeops.operators.ranking import dense_ids, row_numbers
+from tradeops.operators.orders import collapse_by_primary, order_list_rows
+from tradeops.operators.ranking import dense_ids, list_rows, list_text, row_numbers, running_totals
 from tradeops.sources.staging import staged
 
 
@@ -210,3 +210,95 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "In(mainaccount" in plan.split("PushedFilters:")[1]
     assert "ReadSchema: struct<voucher:string,dataarea:string,counterparty:string,mainaccount:int>" in plan
+
+
+def seen_by(data, granted, user):
+    scopes = {s for u, s in granted if u.upper() == user.upper() and s is not None}
+    return [r for r in data if "*" in scopes or r[1] in scopes or r[2] in scopes]
+
+
+def test_rows_a_user_sees(spark):
+    rnd = random.Random(3)
+    offices = [None, *"abcdef"]
+    data = [(i, "hot" if i % 3 == 0 else rnd.choice(offices), rnd.choice(offices), i % 7) for i in range(300)]
+    granted = [("Ann", "hot"), ("ANN", "a"), ("ann", "a"), ("bob", "b"), ("eve", "*"), ("eve", "a"), ("dan", "nowhere"), ("joe", None)]
+    df = spark.createDataFrame(data, "id long, a string, b string, v long")
+    lists = spark.createDataFrame(granted, "who string, scope string")
+    for user in ("ann", "bob", "Eve", "dan", "joe", "nobody"):
+        got = visible_to(df, ["a", "b"], lists, "scope", "who", user)
+        assert rows(got) == sorted(seen_by(data, granted, user), key=repr), user
+    want = {u.upper(): seen_by(data, granted, u) for u in ("ann", "bob", "eve", "dan")}
+    got = rows_seen(df, ["a", "b"], lists, "scope", "who", {"total": F.col("v")})
+    assert {r["who"]: (r["rows"], r["total"]) for r in got.collect()} == {u: (len(r), sum(x[3] for x in r)) for u, r in want.items()}
+    empty = rows_seen(df.limit(0), ["a", "b"], lists, "scope", "who", {"total": F.col("v")})
+    assert {r["who"]: (r["rows"], r["total"]) for r in empty.collect()} == dict.fromkeys(want, (0, 0))
+
+
+def test_everyone_may_be_marked_otherwise(spark):
+    df = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id long, seller long")
+    lists = spark.createDataFrame([("boss", None), ("ann", 10)], "who string, seller long")
+    everything = F.col("seller").isNull()
+    assert [visible_to(df, ["seller"], lists, "seller", "who", u, everything).count() for u in ("boss", "ann")] == [3, 1]
+
+
+def test_fanout_left_join_with_a_class(spark):
+    rnd = random.Random(5)
+    left = spark.createDataFrame([(i, rnd.choice(["hot", "a", "b", None]), rnd.choice(["x", "y", None])) for i in range(60)], "i long, k string, c string")
+    right = spark.createDataFrame([("hot", j) for j in range(40)] + [("a", 1), (None, 2)], "r string, j long")
+    got = fanout_left_join(staged(left, "left"), right, [("k", "r")], only=F.col("c") == "x")
+    assert rows(got) == rows(left.join(right, (F.col("k") == F.col("r")) & (F.col("c") == "x"), "left"))
+
+
+@pytest.mark.parametrize("width", [1, 7])
+def test_running_totals_equal_window(spark, width):
+    df = spark.createDataFrame(hot(300, seed=width), "id long, k string, v long")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    got = running_totals(df, ["k"], ["id"], "v", "before")
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    assert rows(got) == rows(df.withColumn("before", F.coalesce(F.sum("v").over(w), F.lit(0))))
+
+
+def test_list_rows_and_their_text(spark):
+    df = spark.createDataFrame(hot(300), "id long, k string, v long").withColumn("t", F.when(F.col("v") % 5 != 0, F.concat(F.lit("t"), "v")))
+    lists = defaultdict(list)
+    for r in df.collect():
+        if r["t"] is not None:
+            lists[r["k"]].append(r["t"])
+    children = list_rows(df, ["k"], "t")
+    want = sorted(((k, sorted(v).index(x) + 1, x, v.count(x)) for k, v in lists.items() for x in set(v)), key=repr)
+    assert rows(children) == want
+    assert {r["k"]: r["text"] for r in list_text(children, ["k"], "t", ", ", "text").collect()} == {k: ", ".join(sorted(v)) for k, v in lists.items()}
+    once = sorted(((k, sorted(set(v)).index(x) + 1, x, 1) for k, v in lists.items() for x in set(v)), key=repr)
+    assert rows(list_rows(df, ["k"], "t", distinct=True)) == once
+    assert list_rows(df.limit(0), ["k"], "t").count() == 0
+
+
+def test_a_hot_list_is_spread_over_tasks(spark):
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("v"))
+    cuts = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def stage(out, label):
+        cuts.append(staged(out, label))
+        return cuts[-1]
+
+    assert list_rows(df, ["k"], "v", stage=stage).count() == 20_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in cuts[0].groupBy("__range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 10_000
+
+
+def test_order_list_rows_equal_the_collapse(spark):
+    rnd = random.Random(9)
+    data = [(rnd.randrange(8), rnd.choice(["F1", "F2", "F3", None]), rnd.choice([None, 1, 2, 3]), i, rnd.choice(["x", "y", None])) for i in range(80)]
+    df = spark.createDataFrame(data, "k long, part string, day long, id long, note string")
+    cells = collapse_by_primary(df, "k", "part", ["day", "id"], ["id"], {}, ["note"], "others").collect()
+    children = order_list_rows(df, "k", "part", ["day", "id"], ["note"], "others").orderBy("k", "list", "position").collect()
+    for name in ("note", "others"):
+        found = defaultdict(list)
+        for r in children:
+            if r["list"] == name:
+                found[r["k"]].append(r["value"])
+                assert r["position"] == len(found[r["k"]])
+        assert {r["k"]: r[name] for r in cells if r[name]} == {k: " | ".join(v) for k, v in found.items()}

@@ -16,6 +16,7 @@ from tradeops.plans import ic_accruals, ic_client_side, ic_entitlements, ic_loan
 from tradeops.plans.freight_orders import open_lines
 from tradeops.plans.po_lines import po_line_view
 from tradeops.sources import Tables, latest, publish
+from tradeops.sources.publish import registry
 from tradeops.sources.schemas import SCHEMAS
 from tradeops.sources.staging import staging_root
 from tradeops.sources.tables import conform, snake
@@ -254,7 +255,7 @@ def test_publish_replaces_only_its_own_key(spark, tmp_path):
     publish(spark.range(5), root, "sales", "other")
     publish(spark.range(1), root, "sales", "ids")
     assert (latest(spark, root, "sales", "ids").count(), latest(spark, root, "sales", "other").count()) == (1, 5)
-    assert spark.read.parquet(f"{root}/_registry").count() == 2
+    assert registry(spark, root).count() == 2
     with pytest.raises(LookupError):
         latest(spark, root, "sales", "none")
 

@@ -1,4 +1,5 @@
 from .publish import latest, publish
-from .tables import Tables
+from .staging import stages
+from .tables import Tables, ingest
 
-__all__ = ["Tables", "latest", "publish"]
+__all__ = ["Tables", "ingest", "latest", "publish", "stages"]
