@@ -101,3 +101,28 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
     assert got == {i: 0 for i in range(41)} | {100: 100, 200: 100, 300: 100}
+
+
+def test_components_settle_in_few_rounds(spark, monkeypatch):
+    from tradeops.llm import components as module
+
+    written, staged = [], module.staged
+    monkeypatch.setattr(module, "staged", lambda df, label: written.append(label) or staged(df, label))
+    ids = list(range(5000))
+    random.Random(6).shuffle(ids)
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+    got = components(edges)
+    assert got.count() == 5000 and [tuple(r) for r in got.select("component").distinct().collect()] == [(0,)]
+    assert len(written) < 30
+
+
+def test_chain_of_versions(spark):
+    """Each document is the one before, moved on by two words."""
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60 + 2 * 600)]
+    ids = list(range(600))
+    rng.shuffle(ids)
+    rows = [(i, " ".join(words[2 * k : 2 * k + 60])) for k, i in enumerate(ids)]
+    got = run(spark, rows, 3, 90)
+    assert got == brute(rows, 3, 90)
+    assert {component for _, _, component in got} == {0}
