@@ -87,4 +87,42 @@ def test_empty(spark):
 def test_encoder_has_the_library_ids():
     texts = ["Hello  world\n\n they're 日本語 😀<|endoftext|>!!!", "\x1c\x85 　é ²ⅷ", " " * 400 + "x" * 400]
     for t in texts:
-        assert packing.encoder(tokenizer_path()).encode(t, allowed_special="all") == library.encode(t, add_special_tokens=False).ids
+        assert packing.encoder(tokenizer_path()).encode(t) == library.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "x" + " " * 1_200_000 + "y",
+        "x" + "\n" * 1_200_000,
+        " \t" * 600_000 + "<|endoftext|>" + " " * 20_000 + "b",
+        "a" * 1_200_000,
+        "a " * 600_000,
+        "?" * 1_200_000,
+    ],
+    ids=["spaces", "newlines", "before a special string", "one word", "one-letter words", "marks"],
+)
+def test_very_long_texts(text):
+    assert packing.encoder(tokenizer_path()).encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs_are_cut_as_the_library_does():
+    own, rng = packing.Encoder(tokenizer_path(), long_run=3), random.Random(2)
+    parts = [" ", "  ", "\n", "   ", "\t", "a", "b1", "<|endoftext|>", "'s", "é", "\u3000", "     "]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_white_space_does_not_end_the_job(spark):
+    texts = [(1, "x" + " " * 1_000_000 + "y"), (2, "plain")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    check(packing.pack_documents(df, tokenizer_path()).collect(), texts)
+
+
+def test_clashing_columns(spark):
+    pieces = spark.createDataFrame([(3, i, f"k{i}", "t", "s", "w") for i in range(5)], "length long, place long, base string, task string, slot string, `row.x` string")
+    out = packing.pack(pieces.coalesce(1), 10)
+    assert out.columns == ["length", "base", "task", "slot", "row.x", "sequence_id", "offset"]
+    rows = out.collect()
+    assert sorted(r["base"] for r in rows) == [f"k{i}" for i in range(5)] and len({r["sequence_id"] for r in rows}) == 2

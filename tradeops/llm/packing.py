@@ -8,7 +8,8 @@ length as it makes them, the tasks' counts give where its numbers start, and num
 piece meets the others of its length or sequence, and none is sorted.
 
 Defined cases: a null text is an empty one and consists of the end token alone; repeated rows are packed like any other;
-empty input gives no row; documents longer than ``size`` are cut so that only the first piece may be shorter.
+empty input gives no row; documents longer than ``size`` are cut so that only the first piece may be shorter; white space and
+words of any length are encoded whole. Columns of pieces that the packing does not name pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,19 +23,55 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
+from .bpe_codec import codec
 from .byte_pairs import PIECES, byte_pairs
 
 
+class Encoder:
+    """Token ids of whole texts.
+
+    The splitting pattern looks ahead of white space, for which the library gives up on runs of about a million characters. By the
+    same pattern such a run is one word, without its last character if more text follows; so long runs are taken out before.
+    """
+
+    def __init__(self, path: str, long_run: int = 10_000):
+        pairs = byte_pairs(path)
+        special = pairs.special
+        self.plain = tiktoken.Encoding("packing", pat_str=PIECES.pattern, mergeable_ranks=pairs.ids, special_tokens=special)
+        self.special, self.long = special, long_run
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.run = regex.compile(rf"\s{{{long_run},}}")
+        self.word = codec(path).word
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) < self.long or not self.run.search(text):
+            return self.plain.encode(text, allowed_special="all")
+        out: list[int] = []
+        for part in self.cut.split(text) if self.cut else [text]:
+            if part in self.special:
+                out.append(self.special[part])
+                continue
+            at = 0
+            for run in self.run.finditer(part):
+                end = run.end() - (run.end() < len(part))
+                out += self.plain.encode_ordinary(part[at : run.start()])
+                out += self.word(part[run.start() : end])
+                at = end
+            out += self.plain.encode_ordinary(part[at:])
+        return out
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str) -> tiktoken.Encoding:
-    pairs = byte_pairs(path)
-    return tiktoken.Encoding("packing", pat_str=PIECES.pattern, mergeable_ranks=pairs.ids, special_tokens=pairs.special)
+def encoder(path: str) -> Encoder:
+    """One for each worker process."""
+    return Encoder(path)
 
 
 def cut(ids: list[int], size: int) -> Iterator[tuple[int, int, int, int]]:
@@ -57,7 +94,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_token: int) ->
         encode = encoder(tokenizer).encode
         places = [count() for _ in range(size + 1)]
         for batch in batches:
-            cuts = (cut([*encode(t, allowed_special="all"), end_token], size) for t in batch)
+            cuts = (cut([*encode(t), end_token], size) for t in batch)
             yield pd.Series([[(*piece, next(places[piece[2]])) for piece in pieces] for pieces in cuts], dtype=object)
 
     return docs.select("doc_id", F.inline(pieces(F.coalesce("text", F.lit("")))))
@@ -179,8 +216,10 @@ def _slots(patterns: list[Pattern]) -> np.ndarray:
 
 def pack(pieces: DataFrame, size: int) -> DataFrame:
     """``pieces`` (with ``length`` from 1 to ``size`` and ``place``) and their ``sequence_id`` and ``offset``."""
-    given = [c for c in pieces.columns if c != "place"]
-    pieces = staged(pieces.withColumn("task", F.spark_partition_id()), "pieces")
+    given = [c for c in pieces.columns if c not in ("place", "sequence_id", "offset")]
+    # Given columns travel as one, so that none can clash with those of the plan.
+    row = F.struct(*[F.col(f"`{c}`") for c in given]).alias("row")
+    pieces = staged(pieces.select("length", "place", F.spark_partition_id().alias("task"), row), "pieces")
     counts = pieces.groupBy("length", "task").count()
     before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     bases = counts.withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
@@ -198,7 +237,7 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
         return pd.DataFrame({"sequence_id": sequence + nth // each, "offset": offset + nth % each * x})
 
     numbered = pieces.join(bases.drop("count"), ["length", "task"])
-    return numbered.withColumn("slot", slot("length", F.col("base") + F.col("place"))).select(*given, "slot.sequence_id", "slot.offset")
+    return numbered.select("row", slot("length", F.col("base") + F.col("place")).alias("slot")).select("row.*", "slot.sequence_id", "slot.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_token: int = 2) -> DataFrame:
