@@ -77,3 +77,22 @@ def test_query_held_out_accuracy(spark):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
     hidden = [r for r in rows if r["held_out"] and truth[r["doc_id"]] is not None]
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in hidden) >= 0.95 * len(hidden)
+
+
+def test_any_number_of_labels(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "ROWS", 1000)
+    rows = [(i * 10 + k, f"text {i} {k}", f"l{i:03}") for i in range(200) for k in range(10)]
+    rows += [(7, "text 0 7", "l000")] * 3_000  # one id, many times
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    found = language_id.sample(df)
+    assert len(found) == 1000 and len({label for _, label in found}) == 200
+    assert all(text.decode().split()[1] == str(int(label[1:])) for text, label in found)
+    assert language_id.learn(df.where("label < 'l070'")).labels == [f"l{i:03}" for i in range(70)]
+
+
+def test_clashing_columns(spark, model):
+    df = spark.createDataFrame([("abba", 1, 2, 3, "x", 0.5)], "text string, _language int, named int, `row.x` int, lang_pred string, score double")
+    out = language_id.with_language(df, model)
+    assert out.columns == ["text", "_language", "named", "row.x", "lang_pred", "score"]
+    row = out.collect()[0]
+    assert tuple(row)[:4] == ("abba", 1, 2, 3) and row["lang_pred"] == "ab"

@@ -4,8 +4,8 @@ The network (``byte_gru``) is trained on a bounded sample of labelled rows and s
 every whole text, and the mean of the position probabilities is the document's. Only the text is an input.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and so is every text if there is nothing to
-learn from; with a single label, every text with a letter has it; repeated rows are scored alike; other columns pass
-through. Long texts go through the network in windows, so memory does not grow with a text.
+learn from; with a single label, every text with a letter has it; repeated rows are scored alike, and teach once an id; any
+number of labels is learned, with fewer rows each where there are many; other columns pass through, whatever their names. Long texts go through the network in windows, so memory does not grow with a text.
 """
 
 from __future__ import annotations
@@ -21,20 +21,22 @@ from . import byte_gru
 
 UNDETERMINED = "und"
 SAMPLE, CHARS = 500, 400  # at most this many rows a label, and characters of each, from a place that varies by row
-LABELS = 64  # at most this many labels, the most frequent
+ROWS = 4_000  # at most this many rows of all labels together; a label has one at least, however many labels there are
 
 
 def sample(labelled: DataFrame, seed: int = 1) -> list[tuple[bytes, str]]:
-    """A bounded sample of ``labelled`` (doc_id, text, label): for each label the rows of smallest hash."""
+    """A bounded sample of ``labelled`` (doc_id, text, label): for each label the ids of smallest hash, each once."""
     rows = labelled.where(F.col("text").isNotNull() & F.col("label").isNotNull())
-    draw = F.xxhash64("doc_id", F.lit(seed))
-    common = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS)
-    at = F.pmod(draw, F.greatest(F.length("text") - CHARS, F.lit(1))).cast("int") + 1
-    part = rows.select("label", "doc_id", draw.alias("draw"), F.substring("text", at, F.lit(CHARS)).alias("part"))
-    place = F.row_number().over(W.partitionBy("label").orderBy("draw", "part"))
-    picked = part.withColumn("place", place).where(F.col("place") <= SAMPLE).join(common, "label", "left_semi")
-    found = sorted((r["label"], r["place"], r["part"]) for r in picked.select("label", "place", "part").collect())
-    return [(text.encode(), label) for label, _, text in found]
+    rows = rows.select("label", "text", F.xxhash64("doc_id", F.lit(seed)).alias("draw"))
+    ids = rows.select("label", "draw").distinct()
+    labels = ids.select("label").distinct().count()
+    each = max(min(SAMPLE, ROWS // max(labels, 1)), 1)
+    place = F.row_number().over(W.partitionBy("label").orderBy("draw"))
+    picked = F.broadcast(ids.withColumn("place", place).where(F.col("place") <= each).select("label", "draw"))  # ROWS rows, or one a label
+    at = F.pmod(F.col("draw"), F.greatest(F.length("text") - CHARS, F.lit(1))).cast("int") + 1
+    part = F.substring("text", at, F.lit(CHARS))
+    found = rows.join(picked, ["label", "draw"]).groupBy("label", "draw").agg(F.min(part).alias("part"))
+    return [(r["part"].encode(), r["label"]) for r in sorted(found.collect(), key=lambda r: (r["label"], r["draw"]))]
 
 
 def has_letter(text: str) -> bool:
@@ -58,9 +60,11 @@ def with_language(
                     out[i] = (shared.value.labels[p.argmax()], min(float(p.max()), 1.0))
             yield pd.DataFrame(out, columns=["label", "score"])
 
-    given = df.columns
-    named = df.withColumn("_language", predict(F.col(text)))
-    return named.select(*given, F.col("_language.label").alias(label), F.col("_language.score").alias(score))
+    # Given columns travel as one, so that none can clash; those named like the results are replaced by them.
+    given = [c for c in df.columns if c not in (label, score)]
+    row = F.struct(*[F.col(f"`{c}`") for c in given]).alias("row")
+    named = df.select(row, predict(F.col(f"`{text}`")).alias("named"))
+    return named.select("row.*", F.col("named.label").alias(label), F.col("named.score").alias(score))
 
 
 def learn(labelled: DataFrame) -> byte_gru.Model | None:
