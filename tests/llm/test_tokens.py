@@ -64,3 +64,23 @@ def test_empty_and_long(spark):
     assert with_token_counts(df, tokenizer_path()).collect() == []
     long = "word " * 200_000 + " " * 5_000 + "x" * 5_000
     assert with_token_counts(spark.createDataFrame([(long,)], "text string"), tokenizer_path()).first()["n_tokens"] == n(long)
+
+
+def test_budgets_from_prefix_counts():
+    counter = PrefixCounter(tokenizer_path())
+    rng = random.Random(11)
+    parts = [" ", "  ", "   ", "\n", "\t ", "word", " the", "é", "'re", "123", "!?", " " * 9, "<|endoftext|>", "unbelievably", "日本"]
+    for k in range(400):
+        text = "".join(rng.choice(parts[:12] if k % 3 else parts) for _ in range(rng.randrange(25)))
+        counts = counter.prefixes(text)
+        for budget in {0, 1, rng.randrange(12), counts[-1], max(counts[-1] - 1, 0)}:
+            assert counter.longest_within(text, budget) == max(i for i, n in enumerate(counts) if n <= budget), (text, budget)
+
+
+def test_query_answers_its_budget(spark):
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    counter = PrefixCounter(tokenizer_path())
+    for r in op5.run(spark, SF_DIR).collect():
+        text, chars = docs[r["doc_id"]], r["chars_within_limit"]
+        assert (chars < len(text)) == r["over_limit"]
+        assert counter.totals([text[:chars]])[0] <= op5.LIMIT

@@ -144,6 +144,35 @@ class PrefixCounter:
             out += [n + sum(map(total.__getitem__, words)) for n, words in split]
         return out
 
+    def _count(self, word: str) -> int:
+        if word not in self._total:
+            self._learn([word])
+        return self._total[word]
+
+    def longest_within(self, text: str, budget: int, total: int | None = None) -> int:
+        """Code points of the longest prefix of at most ``budget`` tokens, from the prefix counts where the budget runs out.
+
+        Counts at ends of words never fall, so all words up to the last that fits are in; behind it, only prefixes that end
+        in the next word count, or in a run of white space that it begins. A text with special strings is looked at whole.
+        ``total`` is the text's own count, if it is known.
+        """
+        if total is not None and total <= budget:
+            return len(text)
+        if any(s in text for s in self.pairs.special):
+            return max(k for k, n in enumerate(self.prefixes(text)) if n <= budget)
+        if total is None and self.totals([text])[0] <= budget:
+            return len(text)
+        used = at = 0
+        words = PIECES.finditer(text)
+        for m in words:
+            n = self._count(m.group())
+            if used + n > budget:
+                break
+            used, at = used + n, m.end()
+        following = next(words, m)
+        counts = self._ordinary(text[at : following.end()])
+        return at + max(k for k, n in enumerate(counts) if used + n <= budget)
+
     def prefixes(self, text: str) -> list[int]:
         """count[k]: the number of tokens of ``text[:k]``, for k = 0 .. len(text)."""
         out, base, at = [0], 0, 0
