@@ -25,6 +25,7 @@ def test_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK", block)
     monkeypatch.setattr(topk, "QUERIES", 7)
     monkeypatch.setattr(topk, "STRIP", 5)
+    monkeypatch.setattr(topk, "BROADCAST", 16 << 20 if block > 16 else 800)  # one block of queries, or several
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=6) * rng.choice([0.01, 1, 30])]) for i in range(300)]
     rows += [(i, [0.5, -0.25, 1.0]) for i in range(300, 330)] + [(40, [0.1] * 6), (None, [1.0] * 6), (1000, []), (1010, [0.0] * 6)]
@@ -55,3 +56,22 @@ def test_few_and_none(spark):
     one = spark.createDataFrame([(0, [1.0])], schema)
     assert topk.exact_topk(one, F.col("vec_id") == 0, 5).collect() == []
     assert topk.exact_topk(spark.createDataFrame([], schema), F.col("vec_id") == 0, 5).collect() == []
+
+
+def test_vectors_are_read_once_a_block_of_queries(spark, monkeypatch):
+    """What is written grows with queries times k times tasks, not with vectors times queries."""
+    seen, staged = {}, topk.staged
+
+    def stage(df, label):
+        out = staged(df, label)
+        seen.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(topk, "staged", stage)
+    rng = np.random.default_rng(5)
+    for n in (400, 1600):
+        rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(n)]
+        seen.clear()
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        assert topk.exact_topk(df, F.col("vec_id") % 50 == 0, 3).count() == 3 * n // 50
+        assert seen["by-length"] == [n] and seen["found"] == [3 * n // 50]

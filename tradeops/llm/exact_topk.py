@@ -1,9 +1,11 @@
 """Exact top-k search by inner product over integer vectors.
 
-Vectors are dealt by length into blocks, longest first. Each query gets a first bound from the longest block; a block of
-queries then meets only the blocks of vectors whose length allows a score above the bound (Cauchy-Schwarz). Inside,
-vectors go by descending length; both sides are rotated onto the principal axes of all vectors (an orthogonal matrix from
-the distributed second moment), the first axes give a partial sum, and the lengths of the rest bound what is missing. Only
+Vectors are written once, by descending length in ranges. Each query gets a first bound from the longest of them. Then queries
+are broadcast in blocks of bounded bytes, one block after another, and every task goes through its own vectors where they
+are, longest first, and keeps the best ``k`` for each query of the block: no vector moves to meet a query, and a task sends ``k``
+rows a query at most. A task stops once lengths allow no score above the bounds (Cauchy-Schwarz), and files of vectors too
+short for a whole block are not read. Both sides are rotated onto the principal axes of all vectors (an orthogonal matrix from the
+distributed second moment); the first axes give a partial sum, and the lengths of the rest bound what is missing. Only
 pairs that this bound lets through are scored, in exact integer arithmetic. The bounds carry a slack above their rounding
 error, so nothing that belongs into a result is lost.
 
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 
-BLOCK, QUERIES, STRIP = 4096, 1024, 512  # vectors and queries of a block; vectors handled at once inside
-LEVELS = 256  # steps of length
+BLOCK, QUERIES, STRIP = 4096, 2048, 512  # longest vectors for the first bounds; queries and vectors compared at once
+BROADCAST = 16 << 20  # bytes of a block of queries
 NO_ID = (1 << 63) - 1
 _MOST = float(1 << 63)
 
@@ -72,48 +74,71 @@ def axes(vectors: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh(total.reshape(width, width))[1][:, ::-1]
 
 
-def search(q: pd.DataFrame, c: pd.DataFrame, rotation: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` of the vectors ``c`` for each of the queries ``q`` (with ``bound``), one block against one."""
-    width = len(rotation)
-    head = max(1, width // 4)
-    # Descending length; vec_id decides ties in the end, uid between rows of one vec_id.
-    c = c.sort_values(["norm", "vec_id", "uid"], ascending=[False, True, True], ignore_index=True)
-    xq, xc = matrix(q["x"], width), matrix(c["x"], width)
-    yq, yc = xq @ rotation, xc @ rotation
-    rq, rc = (np.sqrt((y[:, head:] ** 2).sum(axis=1)) for y in (yq, yc))
-    nq, nc = q["norm"].to_numpy(dtype=float), c["norm"].to_numpy(dtype=float)
-    uq, uc, ids = q["uid"].to_numpy(), c["uid"].to_numpy(), c["vec_id"].to_numpy()
-    low = q["bound"].to_numpy(dtype=float).copy()
-    best: list[list[tuple]] = [[] for _ in range(len(q))]
-    for at in range(0, len(c), STRIP):
-        strip = slice(at, at + STRIP)
-        slack = 1e-9 * nq * nc[at] + 1e-6
-        alive = np.flatnonzero(nq * nc[at] >= low - slack)
-        if not len(alive):
-            break  # later vectors are shorter still
-        most = yq[alive, :head] @ yc[strip, :head].T + np.outer(rq[alive], rc[strip])
-        open_ = most >= (low - slack)[alive, None]
+class Best:
+    """The best ``k`` vectors for each of the queries ``q`` (uid, x, norm, bound), as vectors go by."""
+
+    def __init__(self, q: pd.DataFrame, rotation: np.ndarray, k: int):
+        self.k, self.rotation, self.head = k, rotation, max(1, len(rotation) // 4)
+        self.x = matrix(q["x"], len(rotation))
+        self.y = self.x @ rotation
+        self.rest = np.sqrt((self.y[:, self.head :] ** 2).sum(axis=1))
+        self.norm, self.uid = q["norm"].to_numpy(dtype=float), q["uid"].to_numpy()
+        self.low = q["bound"].to_numpy(dtype=float).copy()
+        self.best: list[list[tuple]] = [[] for _ in range(len(q))]
+
+    def feed(self, c: pd.DataFrame) -> None:
+        """Looks at the vectors ``c`` (vec_id, uid, x, norm)."""
+        # Descending length; vec_id decides ties in the end, uid between rows of one vec_id.
+        c = c.sort_values(["norm", "vec_id", "uid"], ascending=[False, True, True], ignore_index=True)
+        norm = c["norm"].to_numpy(dtype=float)
+        if not len(c) or not self._alive(norm[0]).any():
+            return
+        x, uid, ids = matrix(c["x"], len(self.rotation)), c["uid"].to_numpy(), c["vec_id"].to_numpy()
+        y = x @ self.rotation
+        rest = np.sqrt((y[:, self.head :] ** 2).sum(axis=1))
+        for at in range(0, len(c), STRIP):
+            strip = slice(at, at + STRIP)
+            alive = np.flatnonzero(self._alive(norm[at]))
+            if not len(alive):
+                return  # later vectors are shorter still
+            for part in range(0, len(alive), QUERIES):
+                self._compare(alive[part : part + QUERIES], x[strip], y[strip], rest[strip], norm[at], uid[strip], ids[strip])
+
+    def _slack(self, longest: float) -> np.ndarray:
+        return 1e-9 * self.norm * longest + 1e-6
+
+    def _alive(self, longest: float) -> np.ndarray:
+        return self.norm * longest >= self.low - self._slack(longest)
+
+    def _compare(self, alive, x, y, rest, longest: float, uid, ids) -> None:
+        slack, head, k = self._slack(longest), self.head, self.k
+        most = self.y[alive, :head] @ y[:, :head].T + np.outer(self.rest[alive], rest)
+        open_ = most >= (self.low - slack)[alive, None]
         rows = np.flatnonzero(open_.any(axis=1))
         if not len(rows):
-            continue
+            return
         cols = np.flatnonzero(open_.any(axis=0))
-        scores = products(xq[alive[rows]], xc[strip][cols])
+        scores = products(self.x[alive[rows]], x[cols])
         for i, r in enumerate(rows):
             me = alive[r]
             take = np.flatnonzero(open_[r, cols])
             found = scores[i, take]
-            near = found >= low[me] - slack[me]
-            found, at_c = found[near], cols[take[near]] + at
-            other = uc[at_c] != uq[me]
-            found, at_c = found[other], at_c[other]
-            order = np.lexsort((uc[at_c], ids[at_c], -found))[:k] if found.dtype != object else sorted(
-                range(len(found)), key=lambda j: (-found[j], ids[at_c[j]], uc[at_c[j]])
+            near = (found >= self.low[me] - slack[me]) & (uid[cols[take]] != self.uid[me])
+            found, at = found[near], cols[take[near]]
+            if not len(at):
+                continue
+            order = np.lexsort((uid[at], ids[at], -found))[:k] if found.dtype != object else sorted(
+                range(len(found)), key=lambda j: (-found[j], ids[at[j]], uid[at[j]])
             )[:k]
-            best[me] = sorted(best[me] + [(-int(found[j]), int(ids[at_c[j]]), int(uc[at_c[j]])) for j in order])[:k]
-            if len(best[me]) == k:
-                low[me] = max(low[me], float(-best[me][-1][0]))
-    rows = [(int(uq[i]), v, u, max(min(-s, NO_ID), -NO_ID - 1)) for i, b in enumerate(best) for s, v, u in b]
-    return pd.DataFrame(rows, columns=["query", "vec_id", "uid", "score"]).astype("int64")
+            own = sorted(self.best[me] + [(-int(found[j]), int(ids[at[j]]), int(uid[at[j]])) for j in order])[:k]
+            self.best[me] = own
+            if len(own) == k:
+                self.low[me] = max(self.low[me], float(-own[-1][0]))
+
+    def rows(self) -> pd.DataFrame:
+        """(query, vec_id, uid, score)."""
+        out = [(int(self.uid[i]), v, u, max(min(-s, NO_ID), -NO_ID - 1)) for i, b in enumerate(self.best) for s, v, u in b]
+        return pd.DataFrame(out, columns=["query", "vec_id", "uid", "score"]).astype("int64")
 
 
 def exact_topk(
@@ -136,54 +161,39 @@ def exact_topk(
     width = max(seen["width"] or 1, 1)
     rotation = spark.sparkContext.broadcast(axes(prepared, width))  # width^2 numbers
 
-    # Levels of length, LEVELS - 1 the longest; each is split into blocks by row.
-    span = np.log(seen["top"] / seen["least"]) if seen["least"] else 0.0
-    level = F.when(F.col("norm") > 0, F.floor(F.log(F.col("norm") / F.lit(seen["least"] or 1.0)) / (span * (1 + 1e-9) or 1.0) * (LEVELS - 1))).otherwise(0)
-    levelled = prepared.withColumn("level", F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS - 1)).cast("int"))
-    levels = levelled.groupBy("level").agg(F.count("*").alias("rows"), F.max("norm").alias("longest")).orderBy(F.desc("level")).collect()
-    if not levels:
+    if seen["top"] is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    parts = F.ceil(F.create_map(*[F.lit(v) for r in levels for v in (r["level"], r["rows"])])[F.col("level")] / BLOCK)
-    blocks = levelled.withColumn("part", F.pmod(F.xxhash64("uid"), parts).cast("int")).drop("is_query")
-
-    # A first bound from a block or so of the longest vectors.
-    few, rows = [], 0
-    for r in levels:
-        if rows < BLOCK // 4:
-            few.append(r["level"])
-            rows += min(r["rows"], BLOCK)
-    # At most LEVELS blocks, in practice the first; ``BLOCK`` rows each on average.
-    first = spark.sparkContext.broadcast(blocks.where(F.col("level").isin(few) & (F.col("part") == 0)).select("vec_id", "uid", "x", "norm").toPandas())
+    vectors = prepared.select("vec_id", "uid", "x", "norm")
+    # Ranges of length, longest first, each sorted: lengths of equal value may share a range.
+    by_length = staged(vectors.repartitionByRange(F.desc("norm"), "uid").sortWithinPartitions(F.desc("norm")), "by-length")
+
+    # A first bound from the longest vectors.
+    first = spark.sparkContext.broadcast(by_length.orderBy(F.desc("norm"), "uid").limit(BLOCK // 4).toPandas())
 
     def bounds(batches):
         for batch in batches:
             batch["bound"] = -_MOST * _MOST
-            found = search(batch, first.value, rotation.value, k) if len(first.value) else pd.DataFrame({"query": [], "score": []})
-            kth = found.groupby("query")["score"].agg(["size", "min"])
+            longest = Best(batch, rotation.value, k)
+            longest.feed(first.value)
+            kth = longest.rows().groupby("query")["score"].agg(["size", "min"])
             kth = kth[(kth["size"] == k) & (kth["min"] > -NO_ID - 1)]["min"].astype(float)  # a saturated score bounds nothing
             batch["bound"] = batch["uid"].map(kth).fillna(-_MOST * _MOST).astype(float)
             yield batch[["uid", "vec_id", "x", "norm", "bound"]]
 
     queries = prepared.where("is_query").select("uid", "vec_id", "x", "norm")
     queries = staged(queries.mapInPandas(bounds, "uid bigint, vec_id bigint, x array<bigint>, norm double, bound double"), "queries")
-    groups = -(-queries.count() // QUERIES) or 1
-    queries = queries.withColumn("group", F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int"))
-
-    # Which levels a group of queries must see: those long enough for at least one of them.
-    steps = F.array(*[F.struct(F.lit(r["level"]).alias("level"), F.lit(r["longest"]).alias("longest"), F.lit(-(-r["rows"] // BLOCK)).alias("parts")) for r in levels])
-    reach = queries.groupBy("group").agg(F.min(F.when(F.col("norm") > 0, F.col("bound") / F.col("norm")).otherwise(-_MOST)).alias("least"))
-    tasks = (
-        reach.select("group", F.inline(F.filter(steps, lambda s: s["longest"] * (1 + 1e-9) + 1e-6 >= F.col("least"))))
-        .select("group", "level", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part"))
-    )
-    tasks = staged(tasks, "tasks")
-    left = queries.join(tasks, "group").groupBy("group", "level", "part")
-    again = tasks.select(F.col("group").alias("for"), F.col("level").alias("at"), F.col("part").alias("nth"))
-    right = blocks.join(again, (F.col("level") == F.col("at")) & (F.col("part") == F.col("nth")))
-    right = right.select("for", "at", "nth", "vec_id", "uid", "x", "norm").groupBy("for", "at", "nth")
-    found = left.cogroup(right).applyInPandas(
-        lambda q, c: search(q, c, rotation.value, k), "query bigint, vec_id bigint, uid bigint, score bigint"
-    )
+    first.destroy()
+    groups = -(-queries.count() * 8 * (width + 4) // BROADCAST) or 1
+
+    found = None
+    for group in range(groups):
+        block = queries.where(F.pmod(F.xxhash64("uid"), F.lit(groups)) == group).drop("vec_id").toPandas()  # about BROADCAST bytes
+        if len(block):
+            block["x"] = list(matrix(block["x"], width))
+            part = _block(by_length, spark.sparkContext.broadcast(block), rotation, k)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "uid")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     names = queries.select(F.col("uid").alias("query"), F.col("vec_id").alias("query_id"))
@@ -192,5 +202,26 @@ def exact_topk(
     )
 
 
+def _block(vectors: DataFrame, queries, rotation, k: int) -> DataFrame:
+    """(query, vec_id, uid, score): the best ``k`` of each file of ``vectors`` for a broadcast block of queries."""
+    norm = queries.value["norm"].to_numpy(dtype=float)
+    # Below this length no vector can reach the bound of any query of the block; such files are skipped by their statistics.
+    reach = np.where(norm > 0, queries.value["bound"].to_numpy(dtype=float) / np.maximum(norm, 1e-300), -_MOST)
+    least = float(reach.min()) * (1 - 1e-9) - 1e-6 if reach.min() > 0 else float(reach.min())
+
+    def search(batches):
+        best = Best(queries.value, rotation.value, k)
+        for batch in batches:  # a task may read several files, so a short batch says nothing about the next
+            best.feed(batch)
+        yield best.rows()
+
+    out = vectors.where(F.col("norm") >= least).mapInPandas(search, "query bigint, vec_id bigint, uid bigint, score bigint")
+    order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "uid")
+    ranked = out.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
+    ranked = staged(ranked, "found")
+    queries.destroy()
+    return ranked
+
+
 def _id(name: str) -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name)).alias(name)
