@@ -74,12 +74,6 @@ def times(text: Column, n: Column, sep: str) -> Column:
     return F.array_join(F.array_repeat(text, n.cast("int")), sep)
 
 
-def sorted_list(value: Column | str, sep: str) -> Column:
-    """Aggregate: non-NULL values in sorted order, NULL when there is none."""
-    c = F.col(value) if isinstance(value, str) else value
-    return F.nullif(F.array_join(F.sort_array(F.collect_list(c)), sep), F.lit(""))
-
-
 def text_list(df: DataFrame, keys: list[str], value: str, sep: str, name: str, distinct: bool = False) -> DataFrame:
     """One text per group listing its values in sorted order.
 
