@@ -17,6 +17,7 @@ repeated rows are encoded like any other; further columns pass through.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -30,7 +31,10 @@ from pyspark.sql import functions as F
 
 from .byte_pairs import PIECES, _byte_alphabet
 
-WORDS, LONG = 400_000, 64  # words kept in a worker's table, and characters of the longest of them
+WORDS, LONG = 700_000, 64  # words kept in a worker's table, and characters of the longest of them
+# Fixed value: the splitting pattern of the word file, and the same for texts of ASCII characters, where `re` is faster.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+"
 
 
 def _lower(text: str) -> str:
@@ -38,12 +42,14 @@ def _lower(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
-def _normaliser(step: dict | None) -> Callable[[str], str]:
+def _normaliser(step: dict | None, spaceless: bool) -> Callable[[str], str]:
+    """``spaceless``: the splitter drops white space, so steps that only change one kind of it for another are left out."""
     if step is None:
         return lambda t: t
     kind = step["type"]
     if kind == "Sequence":
-        steps = [_normaliser(s) for s in step["normalizers"]]
+        spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        steps = [_normaliser(s, spaceless) for s in step["normalizers"] if not (spaceless and s == spaces)]
 
         def every(text: str) -> str:
             for s in steps:
@@ -61,19 +67,37 @@ def _normaliser(step: dict | None) -> Callable[[str], str]:
     raise ValueError(f"unknown normaliser {step}")
 
 
-def _splitter(step: dict) -> Callable[[str], list[str]]:
-    """Words of a normalised text; their bytes are mapped to the file's characters afterwards."""
+def _splitter(step: dict) -> tuple[Callable[[str], list[str]], bool]:
+    """(words of a normalised text, whether they never hold white space); their bytes are mapped to the file's characters later."""
     parts = step["pretokenizers"] if step["type"] == "Sequence" else [step]
     *split, bytewise = parts
     if bytewise["type"] != "ByteLevel" or bytewise["add_prefix_space"] or bytewise.get("use_regex", True) == bool(split):
         raise ValueError(f"unknown pre-tokenizer {step}")
     if not split:
-        return PIECES.findall
+        return PIECES.findall, False
     if len(split) == 1 and split[0]["type"] == "Split" and split[0]["behavior"] == "Removed" and split[0]["invert"]:
-        return regex.compile(split[0]["pattern"]["Regex"]).findall
+        pattern = split[0]["pattern"]["Regex"]
+        if pattern != WORD_PATTERN:
+            return regex.compile(pattern).findall, False
+        whole, ascii_only = regex.compile(pattern).findall, re.compile(ASCII_PATTERN, re.ASCII).findall
+        return lambda t: ascii_only(t) if t.isascii() else whole(t), True
     raise ValueError(f"unknown pre-tokenizer {step}")
 
 
+class _Table(dict):
+    """Ids of words, learned as they are met; long words are not kept."""
+
+    def __init__(self, learn: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.learn(word)
+        if len(word) <= LONG:
+            self[word] = ids
+        return ids
+
+
 class Codec:
     """The vocabulary and merges of one tokenizer file."""
 
@@ -86,7 +110,8 @@ class Codec:
         odd += [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
         if model["type"] != "BPE" or odd:
             raise ValueError(f"unknown settings {odd or model['type']}")
-        self.normal, self.split = _normaliser(spec["normalizer"]), _splitter(spec["pre_tokenizer"])
+        self.split, spaceless = _splitter(spec["pre_tokenizer"])
+        self.normal = _normaliser(spec["normalizer"], spaceless)
         vocab, self.end = model["vocab"], model.get("end_of_word_suffix") or ""
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(merges)}
@@ -100,42 +125,38 @@ class Codec:
         if spec["decoder"] not in (None, {}) and spec["decoder"]["type"] != "ByteLevel":
             raise ValueError(f"unknown decoder {spec['decoder']}")
         self.bytewise = bool(spec["decoder"])
-        self.table: dict[str, tuple[int, ...]] = {}
+        self.table = _Table(self.word)
 
     def word(self, word: str) -> tuple[int, ...]:
         """The ids of one word."""
         data = word.encode()
         symbols: list[int | None] = [*map(self.inside.__getitem__, data[:-1]), self.last[data[-1]]]
-        n, merges = len(symbols), self.merges
+        n, known = len(symbols), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(merges[pair][0], i) for i, pair in enumerate(zip(symbols, symbols[1:])) if pair in merges]
+        found = map(known, zip(symbols, symbols[1:]))
+        queue = [(merge[0], i) for i, merge in enumerate(found) if merge is not None]
         heapify(queue)
         while queue:
             rank, i = heappop(queue)
             j = after[i]
-            found = merges.get((symbols[i], symbols[j])) if j < n else None
-            if found is None or found[0] != rank:
+            merge = known((symbols[i], symbols[j])) if j < n else None
+            if merge is None or merge[0] != rank:
                 continue  # stale: one of the pair has been merged since
-            symbols[i], symbols[j] = found[1], None
+            symbols[i], symbols[j] = own, _ = merge[1], None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (right := merges.get((symbols[i], symbols[k]))) is not None:
+                if (right := known((own, symbols[k]))) is not None:
                     heappush(queue, (right[0], i))
             h = before[i]
-            if h >= 0 and (left := merges.get((symbols[h], symbols[i]))) is not None:
+            if h >= 0 and (left := known((symbols[h], own))) is not None:
                 heappush(queue, (left[0], h))
-        return tuple(s for s in symbols if s is not None)
+        return tuple([s for s in symbols if s is not None])
 
     def _ordinary(self, text: str) -> list[int]:
-        words, table = self.split(self.normal(text)), self.table
-        if len(table) > WORDS:
-            table.clear()
-        new = set(words).difference(table)
-        long = {w: self.word(w) for w in new if len(w) > LONG}
-        table.update((w, self.word(w)) for w in new.difference(long))
-        ids = map((table | long if long else table).__getitem__, words)
-        return list(chain.from_iterable(ids))
+        if len(self.table) > WORDS:
+            self.table.clear()
+        return list(chain.from_iterable(map(self.table.__getitem__, self.split(self.normal(text)))))
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
@@ -150,7 +171,7 @@ class Codec:
     def decode(self, ids) -> str:
         if ids is None or not len(ids):
             return ""
-        strings = map(self.strings.__getitem__, ids)
+        strings = map(self.strings.__getitem__, ids.tolist() if hasattr(ids, "tolist") else ids)
         if not self.bytewise:
             return " ".join(strings)  # without a decoder of its own, the file's tokens are set apart
         byte = _bytes_of()
