@@ -10,9 +10,9 @@ only two vectors and the edits.
 of the states' best audits besides their costs. That is enough: in one half every audit has a letter for each row and ends in
 one, so none is the beginning of another, and different states have different audits.
 
-*Long conversations* are cut into segments of ``SEGMENT`` rows. Each becomes a matrix, the least costs from state to state
-and the order of their audits, found where the segment is; the same divide and conquer over a conversation's matrices gives
-the states at the cuts; segments are then solved on their own. No task holds a conversation's rows: one holds a segment, or a
+*Long conversations* are cut into segments of ``SEGMENT`` rows; a conversation that fits one is solved where it is. Else each
+segment becomes a matrix, the least costs from state to state and the order of their audits; the same divide and conquer over
+a conversation's matrices gives the states at the cuts, and segments are then solved on their own. No task holds a conversation's rows: one holds a segment, or a
 conversation's matrices, a few hundred bytes for ``SEGMENT`` rows. A repaired conversation's hash goes over its segments in
 order, a batch of them at a time.
 
@@ -41,7 +41,6 @@ SEGMENT = 1_000
 STATES = range(4)  # nothing yet, after system, after user, after assistant
 START, SYSTEM, USER, ASSISTANT = STATES
 ENDS = (START, ASSISTANT)
-INITIALS = "sua?"  # of a row's role; ? is any other
 LEGAL = ("su", "ua", "au")  # initials of neighbours
 WORD = r"[^\x20\x09-\x0D]"  # a character that is no white space
 
@@ -188,6 +187,13 @@ def _step(moves: Moves) -> Step:
     return step_of(moves)
 
 
+def _cheapest(steps: Sequence[Step]) -> tuple[int, int]:
+    """(cost, last state) of the best way through all ``steps``, the end's included."""
+    base, behind = forward(only(START), steps)
+    known, last = min((known, q) for q, known in enumerate(behind) if known is not None)
+    return base + known[0], last
+
+
 def segment_step(steps: Sequence[Step]) -> Step:
     """A whole segment as one step."""
     out = []
@@ -218,10 +224,10 @@ def with_faults(rows: DataFrame) -> DataFrame:
     """
     space = lambda c: F.coalesce(F.col(c), F.lit(" ")).alias(c)
     named = rows.select("conv_id", F.col("turn").isNotNull().alias("known"), "turn", space("role"), space("text"))
-    numbered = row_numbers(staged(named, "turns"), ["conv_id"], ["known", "turn", "role", "text"], "n").withColumn("n", F.col("n") - 1)
+    numbered = row_numbers(named, ["conv_id"], ["known", "turn", "role", "text"], "n").withColumn("n", F.col("n") - 1)
     numbered = staged(numbered.drop("known"), "numbered")
     said = numbered.where(F.col("text").rlike(WORD))
-    # The digest stands for role and text; equal digests of different rows are not met.
+    # The digest stands for role and text.
     digest = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)
     firsts = said.groupBy("conv_id", digest.alias("digest")).agg(F.min("n").alias("first"))
     firsts = firsts.select(F.col("conv_id").alias("_conv"), "first")
@@ -264,7 +270,22 @@ def repair(rows: DataFrame, costs: Costs = Costs()) -> tuple[DataFrame, DataFram
     last of ``role:text`` lines joined by newlines. Segments: (conv_id, segment, first, last, audit, ..), the states around
     each and its part of the audit; ``repaired_texts`` gives the rows.
     """
+    conv = rows.schema["conv_id"].dataType.simpleString()
     segments = staged(_segments(rows), "segments")
+    several = segments.where("segment > 0").select(F.col("conv_id").alias("_conv")).distinct()
+    same = segments["conv_id"].eqNullSafe(several["_conv"])
+    short, long = segments.join(several, same, "left_anti"), segments.join(several, same, "left_semi")
+
+    @F.pandas_udf("last int, cost bigint, illegal bigint, audit string")
+    def whole(kinds: pd.Series) -> pd.DataFrame:
+        known: dict[str, tuple] = {}  # alike conversations are solved once a batch
+        for k in kinds:
+            if k not in known:
+                moves = [*_moves(k, costs), row_moves("", costs)]
+                cost, last = _cheapest([_step(m) for m in moves])
+                pieces = audit_pieces(moves, START, last)
+                known[k] = (last, cost, _illegal(k[::2]), "".join(pieces))
+        return pd.DataFrame([known[k] for k in kinds], columns=["last", "cost", "illegal", "audit"])
 
     @F.pandas_udf("step string, illegal bigint, ends string")
     def matrix(kinds: pd.Series) -> pd.DataFrame:
@@ -274,8 +295,7 @@ def repair(rows: DataFrame, costs: Costs = Costs()) -> tuple[DataFrame, DataFram
     def cross(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("segment", ignore_index=True)
         steps = [*map(_from_text, batch["step"]), _step(row_moves("", costs))]
-        base, behind = forward(only(START), steps)
-        last = min((known, q) for q, known in enumerate(behind) if known is not None)[1]
+        cost, last = _cheapest(steps)
         states = crossings(steps, START, last)
         n = len(batch)
         # Neighbours inside segments, and those at the cuts.
@@ -287,13 +307,12 @@ def repair(rows: DataFrame, costs: Costs = Costs()) -> tuple[DataFrame, DataFram
                 "first": states[:n],
                 "last": states[1 : n + 1],
                 "end": [None] * (n - 1) + [last],
-                "cost": [base + behind[last][0]] * n,
+                "cost": [cost] * n,
                 "illegal": [illegal] * n,
             }
         ).astype({"end": "Int32"})
 
-    conv = rows.schema["conv_id"].dataType.simpleString()
-    steps = segments.select("conv_id", "segment", matrix("kinds").alias("m")).select("conv_id", "segment", "m.*")
+    steps = long.select("conv_id", "segment", matrix("kinds").alias("m")).select("conv_id", "segment", "m.*")
     schema = f"conv_id {conv}, segment bigint, first int, last int, end int, cost bigint, illegal bigint"
     met = steps.groupBy("conv_id").applyInPandas(cross, schema)
 
@@ -306,9 +325,10 @@ def repair(rows: DataFrame, costs: Costs = Costs()) -> tuple[DataFrame, DataFram
         return pd.Series(out, dtype=object)
 
     met = met.select(F.col("conv_id").alias("_conv"), F.col("segment").alias("_segment"), "first", "last", "end", "cost", "illegal")
-    solved = segments.join(met, segments["conv_id"].eqNullSafe(met["_conv"]) & (segments["segment"] == met["_segment"]))
+    solved = long.join(met, long["conv_id"].eqNullSafe(met["_conv"]) & (long["segment"] == met["_segment"]))
     solved = solved.select("conv_id", "segment", "first", "last", "cost", "illegal", edits("kinds", "first", "last", "end").alias("audit"))
-    solved = staged(solved, "solved")
+    alone = short.select("conv_id", "segment", F.lit(START).alias("first"), whole("kinds").alias("w"))
+    solved = staged(alone.select("conv_id", "segment", "first", "w.*").unionByName(solved), "solved")
     part = F.array_sort(F.collect_list(F.struct("segment", "audit")))
     audits = solved.groupBy("conv_id").agg(
         F.max("illegal").alias("illegal"), F.max("cost").alias("cost"), F.array_join(F.transform(part, lambda x: x["audit"]), "").alias("audit")
