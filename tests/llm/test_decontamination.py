@@ -138,3 +138,55 @@ def test_candidates_lose_nothing_the_last_checks_keep():
             expected += 1
             found += number in [m[0] for m in dec.matches(leak, index, idf, basis)]
     assert expected >= 40 and found >= 0.97 * expected, (found, expected)
+
+
+def test_short_paraphrases_are_found(spark):
+    """Items of 6 to 14 words with a fifth of the words replaced, planted in documents of the test tables."""
+    rng = random.Random(21)
+    folder = SF_DIR.replace("0.001", "0.01")
+    docs = [r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect() if r["text"] and len(r["text"].split()) > 60]
+    pool = [w for t in docs[:200] for w in t.split()]
+    bench, leaks, expected = [], [], set()
+    for k in range(60):
+        n = rng.randint(6, 14)
+        item = [rng.choice(pool) for _ in range(n)]
+        bench.append((k, " ".join(item)))
+        changed = list(item)
+        for i in rng.sample(range(n), max(round(0.2 * n), 1)):
+            changed[i] = rng.choice(pool)
+        around = docs[rng.randrange(len(docs))].split()[:60]
+        leaks.append((k, " ".join(around[:30] + changed + around[30:])))
+        item_h, region = dec.words(bench[-1][1]), dec.words(" ".join(changed))
+        end = dec.words(dec.answer(bench[-1][1]))
+        if dec.common_length(item_h, region) >= dec.SAME * n and dec.common_length(end, region) >= dec.ANSWERED * len(end):
+            expected.add(k)
+    rest = [(1000 + i, t) for i, t in enumerate(docs)]
+    found = dec.contaminated(
+        spark.createDataFrame(leaks + rest, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    ).collect()
+    caught = {r["doc_id"] for r in found if r["doc_id"] == r["item_id"]}
+    assert len(expected) > 50 and len(caught & expected) >= 0.9 * len(expected), (len(caught & expected), len(expected))
+    assert len({r["doc_id"] for r in found if r["doc_id"] >= 1000}) <= 0.005 * len(rest)
+
+
+def test_the_sample_holds_each_text_once(spark, monkeypatch):
+    monkeypatch.setattr(dec, "SAMPLE", 20)
+    seen = []
+    monkeypatch.setattr(dec, "directions", lambda fitted, idf: seen.append([r[0] for r in fitted.collect()]) or np.zeros((dec.CELLS, dec.RANK), np.float16))
+    docs = spark.createDataFrame([(1, "the same words again and again")] * 500 + [(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "an item of the benchmark")], "item_id long, text string")
+    dec.contaminated(docs, bench)
+    assert len(seen[0]) == len(set(seen[0])) and len(seen[0]) <= 21
+
+
+def test_orthonormal_in_blocks():
+    rng = np.random.default_rng(1)
+    matrix = (rng.standard_normal((dec.CELLS, 12)) * np.logspace(0, -3, 12)).astype(np.float32)
+    whole = matrix.copy()
+    dec._orthonormal(matrix)
+    assert np.allclose(matrix.T @ matrix, np.eye(12), atol=1e-4)
+    assert np.abs(whole - matrix @ (matrix.T @ whole)).max() < 1e-4  # the same directions
+    few = np.zeros((dec.CELLS, 6), np.float32)
+    few[:4, 0] = 1
+    dec._orthonormal(few)
+    assert np.allclose(few.T @ few, np.eye(6), atol=1e-4)
