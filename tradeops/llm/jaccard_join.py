@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..sources.staging import staged
+from .common import release_memory
 from .components import components
 from .shingle_sets import codes, frequency_ranks, set_key, signature
 
@@ -68,6 +69,7 @@ def _features(docs: DataFrame, text: str, size: int, threshold: int, ranks) -> D
                 prefix = c[: len(c) - overlap + min(SHARED, overlap)].view(np.int64)
                 rows.append((len(c), set_key(c), prefix, signature(c).tobytes()))
             yield pd.DataFrame(rows, columns=["n", "key", "prefix", "signature"])
+        release_memory()
 
     return docs.select("doc_id", "mark", features(F.col(text)).alias("f")).select("doc_id", "mark", "f.*")
 
@@ -212,11 +214,10 @@ def _signature_pairs(groups: DataFrame, key: list[str], classes: DataFrame, thre
 def _rest_pairs(rings: DataFrame, key: list[str], classes: DataFrame, threshold: int) -> DataFrame:
     """Candidates of what stays in rings (node, n) behind their last pivot."""
     counted = rings.join(rings.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1"), key)
-    again = (
-        counted.where(F.col("rows") > BLOCK)
-        .join(classes.select("node", F.explode("prefix").alias("second")), "node")
-        .where(F.col("second") != F.col("pivot"))
-    )
+    # Few rings are that large; of their documents alone the pivots are listed again.
+    crowded = staged(counted.where(F.col("rows") > BLOCK), "crowded")
+    listed = classes.join(crowded.select("node").distinct(), "node", "left_semi")
+    again = crowded.join(listed.select("node", F.explode("prefix").alias("second")), "node").where(F.col("second") != F.col("pivot"))
     # Each pair of pivots once: a document has both, so it meets the pair from either side.
     deeper = ["first", "second", "ring"]
     again = again.withColumn("first", F.least("pivot", "second")).withColumn("second", F.greatest("pivot", "second"))
@@ -262,13 +263,14 @@ def _grouped(docs: DataFrame, size: int, threshold: int, text: str) -> DataFrame
         "classes",
     )
 
-    # Boundary regions with at least two sets.
+    # Boundary regions with at least two sets. Counting reads all columns of a posting, so that it shares the shuffle of
+    # the rows it counts.
     postings = classes.select("node", "n", F.explode("prefix").alias("pivot"))
     shared = postings.groupBy("pivot").count().where("count > 1").select("pivot")
     rings = _rings(postings.join(shared, "pivot"), threshold)
     key = ["pivot", "ring"]
-    populated = rings.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
-    rings = staged(rings.join(populated, key), "rings")
+    populated = rings.groupBy(*key).agg(F.count("*").alias("rows"), F.max("node").alias("last")).where("rows > 1 and last is not null")
+    rings = staged(rings.join(populated.drop("last"), key), "rings")
 
     small = rings.where(F.col("rows") <= SMALL).drop("rows")
     rest = rings.where(F.col("rows") > SMALL).drop("rows", "home")
@@ -316,12 +318,16 @@ def _sets(docs: DataFrame, classes: DataFrame, size: int, ranks) -> DataFrame:
         for batch in batches:
             coded = [codes(t, size, ranks.value) for t in batch]
             yield pd.DataFrame({"key": [set_key(c) for c in coded], "shingles": [c.view(np.int64) for c in coded]})
+        release_memory()
 
-    wanted = classes.select(F.col("first.doc_id").alias("doc_id"), F.col("key").alias("wanted"), "node")
-    # Most texts need not move: a table of at most FILTER hash cells of the wanted ids is broadcast and keeps them back.
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER)).alias("cell")
+    row = lambda of: F.xxhash64(f"{of}doc_id", f"{of}mark").alias("row")
+    wanted = classes.select(row("first."), F.col("key").alias("wanted"), "node")
+    # Most texts need not move: a table of at most FILTER hash cells of the wanted rows is broadcast and keeps them back.
+    cell = F.pmod("row", F.lit(FILTER)).alias("cell")
     cells = F.broadcast(wanted.select(cell).distinct())
-    docs = docs.select("doc_id", "text", cell).join(cells, "cell", "left_semi").drop("cell")
-    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "wanted", whole("text").alias("s"))
-    # Only where ids repeat or are null can a row belong to another set, or a set come twice.
-    return found.where("s.key = wanted").groupBy("node").agg(F.first("s.shingles").alias("shingles"))
+    docs = docs.select(row(""), "doc_id", "mark", "text").withColumn("cell", cell).join(cells, "cell", "left_semi").drop("cell")
+    # Equal rows lie together by now; one text of each goes on, and a row whose hash met another's set is left out.
+    found = docs.join(wanted, "row").groupBy("row", "doc_id", "mark", "node", "wanted").agg(F.first("text").alias("text"))
+    # Not to be moved below the filter, where sets would be computed twice.
+    sets = found.select("node", "wanted", whole.asNondeterministic()("text").alias("s"))
+    return sets.where("s.key = wanted").select("node", "s.shingles")
