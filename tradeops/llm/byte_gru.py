@@ -14,7 +14,7 @@ import numpy as np
 
 PAD = 255  # never occurs in UTF-8
 SPAN, CONTEXT = 256, 12  # bytes labelled by one window, and bytes read before and behind them
-WINDOWS = 2048  # windows that go through the network at once
+WINDOWS = 1024  # windows that go through the network at once
 
 
 @dataclass

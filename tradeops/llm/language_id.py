@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import byte_gru
+from .common import release_memory
 
 UNDETERMINED = "und"
 SAMPLE, CHARS = 500, 400  # at most this many rows a label, and characters of each, from a place that varies by row
@@ -59,6 +60,7 @@ def with_language(
                 for i, p in zip(known, chances):
                     out[i] = (shared.value.labels[p.argmax()], min(float(p.max()), 1.0))
             yield pd.DataFrame(out, columns=["label", "score"])
+        release_memory()
 
     # Given columns travel as one, so that none can clash; those named like the results are replaced by them.
     given = [c for c in df.columns if c not in (label, score)]

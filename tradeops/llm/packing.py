@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..sources.staging import staged
 from .bpe_codec import codec
 from .byte_pairs import PIECES, byte_pairs
+from .common import release_memory
 
 
 class Encoder:
@@ -48,7 +49,7 @@ class Encoder:
         self.special, self.long = special, long_run
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.run = regex.compile(rf"\s{{{long_run},}}")
-        self.word = codec(path).word
+        self.path = path
 
     def encode(self, text: str) -> list[int]:
         if len(text) < self.long or not self.run.search(text):
@@ -62,7 +63,7 @@ class Encoder:
             for run in self.run.finditer(part):
                 end = run.end() - (run.end() < len(part))
                 out += self.plain.encode_ordinary(part[at : run.start()])
-                out += self.word(part[run.start() : end])
+                out += codec(self.path).word(part[run.start() : end])  # loaded only where such a text occurs
                 at = end
             out += self.plain.encode_ordinary(part[at:])
         return out
@@ -96,6 +97,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_token: int) ->
         for batch in batches:
             cuts = (cut([*encode(t), end_token], size) for t in batch)
             yield pd.Series([[(*piece, next(places[piece[2]])) for piece in pieces] for pieces in cuts], dtype=object)
+        release_memory()
 
     return docs.select("doc_id", F.inline(pieces(F.coalesce("text", F.lit("")))))
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory
+
 CELLS = 1 << 16  # cells of the frequency sketch: what is collected and broadcast, whatever the corpus
 CLASSES = 128  # hash classes of a signature
 LONGEST = 1 << 20  # bytes of a text that are hashed at once
@@ -92,6 +94,7 @@ def cell_counts(texts: DataFrame, cells_of) -> np.ndarray:
                 total += np.bincount(np.concatenate(found), minlength=CELLS)
         cells = np.flatnonzero(total)
         yield pd.DataFrame({"cell": cells, "n": total[cells]})
+        release_memory()
 
     sums = texts.mapInPandas(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(CELLS, np.int64)
