@@ -18,7 +18,7 @@ from tradeops.llm.packing import pack_documents
 from tradeops.sources.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_SCORE = 0.3  # of the pooled language probability; below, no language has even a third of the text
+LEAST_SCORE, ABOVE_CHANCE = 0.3, 1.2  # least pooled probability of a language, and how far above chance where there are many
 SHINGLE, SIMILARITY = 5, 80
 
 
@@ -29,8 +29,10 @@ def _documents(df: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or no language that is likely."""
     docs = _documents(docs)
-    named = language_id.with_language(docs, language_id.document_languages(docs), label="_label", score="_score")
-    return _documents(named.where((F.col("_label") != language_id.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)))
+    model = language_id.document_languages(docs)
+    least = min(LEAST_SCORE, ABOVE_CHANCE / max(len(model.labels) if model else 1, 1))
+    named = language_id.with_language(docs, model, label="_label", score="_score")
+    return _documents(named.where((F.col("_label") != language_id.UNDETERMINED) & (F.col("_score") >= least)))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,20 +43,22 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near duplicates, and everything that is alone.
+    """Keeps one row of each group of near duplicates, and everything that is alone.
 
-    A document is an id and a text: rows that share only one of them are told apart, rows equal in both stay or go
-    together. A row without an id is a document of its own: it is kept only where its group has no id, and then once.
+    Kept is the row of smallest id (a null id last). A document is an id and a text: rows that share only one of them are
+    told apart, and of rows equal in both one stays, that of least further columns. Texts without words never link and stay.
     """
     docs = _documents(docs)
     gone = repeated(docs, SHINGLE, SIMILARITY).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"))
-    docs = docs.withColumn("_mark", row_mark())
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (docs["_mark"] == gone["_of"]), "left_anti")
-    # Rows equal in both are told apart by nothing, so those without an id are reduced here; texts without words never link.
-    copies = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike("[^ \t\n\x0b\f\r]"), F.lit(False))
+    marked = docs.withColumn("_mark", row_mark())
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of"))
+    left = marked.join(staged(gone, "gone"), same, "left_anti")
+    spoken = left.where(F.col("text").rlike("[^ \t\n\x0b\f\r]"))
+    twice = spoken.groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_of")).count().where("count > 1").drop("count")
+    twice = staged(twice, "twice")  # ids and marks only; texts move where they are repeated
     rest = F.struct("lang", "source", "n_chars")
-    once = left.where(copies).groupBy("doc_id", "text").agg(F.min(rest).alias("rest")).select("doc_id", "text", "rest.*")
-    return _documents(left.where(~copies)).unionByName(once)
+    once = spoken.join(twice, same, "left_semi").groupBy("doc_id", "text").agg(F.min(rest).alias("rest")).select("doc_id", "text", "rest.*")
+    return _documents(left.join(twice, same, "left_anti")).unionByName(_documents(once))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
