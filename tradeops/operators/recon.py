@@ -80,6 +80,15 @@ def document_ledger(txns: DataFrame, mapping: DataFrame, side: Side) -> DataFram
     )
 
 
+DOCUMENT_IDS = ("_inv_id", "md5")
+
+
+def with_document_ids(docs: DataFrame) -> DataFrame:
+    """Add the ids of `document_ledger`, which hang on a row's other columns: long texts that need not travel with it."""
+    key = ["_invoice", F.lit("_"), "_vendor", F.lit("-"), "_client"]
+    return docs.withColumns({"_inv_id": joined(*key), "md5": surrogate_key(*key)})
+
+
 def shared_attachments(attachments: DataFrame, parent_type: str, templates: Templates) -> DataFrame:
     """(parent, link) of the attachments a customer may open, one row each."""
     url = F.when(
@@ -114,24 +123,30 @@ def document_links(
 ) -> DataFrame:
     """Add `_url` and `_url_vault`.
 
-    A document may carry very many attachments, so both joins tolerate hot keys
-    on the link side. The links are one staged table; ``docs`` is read four times
+    A document may carry very many attachments, so the joins tolerate hot keys
+    on the link side. The links are staged; ``docs`` is read more than once
     and should be staged too.
     """
-    targets = staged(link_targets(invoices, credit_notes, attachments, templates), "links")
+    targets = staged(link_targets(invoices, credit_notes, attachments, templates).where(F.col("__domain").isNotNull()), "links")
     inv = targets.where(F.col("__kind") == "invoice").drop("__kind")
     cn = targets.where(F.col("__kind") == "credit note").select(
         F.col("__serial").alias("__cn_serial"), F.col("__domain").alias("__cn_domain"), F.col("__vault").alias("__cn_vault")
     )
+    # Links of either kind that share serial and domain meet each other first: documents, far more rows, then move once.
+    keys = [("__serial", "__cn_serial"), ("__domain", "__cn_domain")]
+    listed = inv.select(F.col("__serial").alias("__s"), F.col("__domain").alias("__d")).distinct()
+    alone = cn.join(listed, (F.col("__cn_serial") == F.col("__s")) & (F.col("__cn_domain") == F.col("__d")), "left_anti")
+    alone = alone.withColumnsRenamed({b: a for a, b in keys})
+    met = fanout_left_join(inv, cn, keys).drop("__cn_serial", "__cn_domain")
+    links = staged(met.unionByName(alone, allowMissingColumns=True), "met-links")
     free_text = F.upper(part("_invoice", "-", 2)).isin("FTI", "CN")
     path = F.format_string(templates.free_text, part("_invoice", "-", 1), F.col("_invoice"))
-    linked = fanout_left_join(docs, inv, [("_invoice", "__serial"), ("_iss_domain", "__domain")])
     return (
-        fanout_left_join(linked, cn, [("_invoice", "__cn_serial"), ("_iss_domain", "__cn_domain")])
+        fanout_left_join(docs, links, [("_invoice", "__serial"), ("_iss_domain", "__domain")])
         .withColumns(
             {"_url": F.col("__url"), "_url_vault": F.when(free_text, path).otherwise(F.coalesce("__vault", "__cn_vault"))}
         )
-        .drop("__serial", "__domain", "__url", "__vault", "__cn_serial", "__cn_domain", "__cn_vault")
+        .drop("__serial", "__domain", "__url", "__vault", "__cn_vault")
     )
 
 

@@ -12,6 +12,7 @@ from ..operators.access import visible_to
 from ..operators.grouping import attach_totals
 from ..operators.recon import (
     CODE_LENGTH,
+    DOCUMENT_IDS,
     PAYABLES,
     PAYABLES_CORRECTED,
     RECEIVABLES,
@@ -22,6 +23,7 @@ from ..operators.recon import (
     document_links,
     payment_side,
     settlement_split,
+    with_document_ids,
 )
 from ..sources.staging import staged
 from .access_lists import ic_entitlements
@@ -105,13 +107,13 @@ def _documents(
     published = docs.columns
     if viewer is not None:
         docs = visible_to(docs, ["_vendor", "_client"], ic_entitlements(tables), "_office", "_email", viewer)
-    docs = staged(docs, "ledger-documents")
+    docs = staged(docs.drop(*DOCUMENT_IDS), "ledger-documents")
     docs = staged(credit_note_match(docs, txns, side, swapped), "matched-documents")
     docs = staged(settlement_split(docs, txns, side, swapped), "settled-documents")
     docs = document_links(
         docs, tables["issued_invoices"], tables["issued_credit_notes"], tables["attachments"], templates
     )
-    return docs.select(
+    return with_document_ids(docs).select(
         *published, "_credit_note_match_manual", "_cancel_amount_manual", "_amount_settle_negative",
         "_amount_settle_positive", "_url", "_url_vault",
     )
