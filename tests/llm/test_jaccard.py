@@ -88,6 +88,27 @@ def test_rings_and_balls(spark, monkeypatch, turns, radius):
     assert run(spark, rows, 3, 80) == brute(rows, 3, 80)
 
 
+def test_sets_are_built_where_partners_are(spark, monkeypatch):
+    """Loose versions of one text share balls, but few of them can link: the others' whole sets are never built."""
+    rng = random.Random(31)
+    base, rows = [f"w{rng.randrange(10**6)}" for _ in range(100)], []
+    for i in range(40):
+        w = list(base)
+        for at in rng.sample(range(100), 3):
+            w[at] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    rows.append((50, rows[20][1] + " end"))
+    built, whole = [], jaccard_join._sets
+
+    def counted(docs, classes, size, ranks):
+        built.append(classes.count())
+        return whole(docs, classes, size, ranks)
+
+    monkeypatch.setattr(jaccard_join, "_sets", counted)
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+    assert sum(built) <= 20
+
+
 def test_query(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in op10.run(spark, SF_DIR).collect()), key=repr) == brute(rows, 3, 90)
