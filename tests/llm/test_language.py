@@ -96,3 +96,25 @@ def test_clashing_columns(spark, model):
     assert out.columns == ["text", "_language", "named", "row.x", "lang_pred", "score"]
     row = out.collect()[0]
     assert tuple(row)[:4] == ("abba", 1, 2, 3) and row["lang_pred"] == "ab"
+
+
+def test_all_rows_teach(spark, monkeypatch):
+    """What only rows outside the sample show is learned, from files that hold one label each."""
+    monkeypatch.setattr(language_id, "SAMPLE", 5)
+    rng = np.random.default_rng(4)
+    draw = lambda letters: "".join(rng.choice(list(letters), 300))
+    rows = [(i, draw("abxy"), "ab") for i in range(3000)] + [(i, draw("cdxy"), "cd") for i in range(3000, 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string").repartitionByRange(6, "doc_id")
+    start = byte_gru.train(language_id.sample(df), steps=3)
+    model = language_id.from_all_rows(start, df)
+    texts = [(draw(x).encode(), i) for i, x in enumerate(("abxy", "cdxy")) for _ in range(30)]
+    loss = lambda m: -np.log([byte_gru.pooled(m, [t])[0][i] for t, i in texts]).mean()
+    assert loss(model) < 0.95 * loss(start)
+
+
+def test_every_byte_teaches_once(model):
+    texts = [(b"abba" * 30 + b"a", 0), (b"", 1), (b"cd", 1)]
+    total, size = byte_gru.taught(model, iter([texts, texts[:1]]), np.ones(2, np.float32), rate=0)
+    assert size == 2 * 121 + 2
+    for a, b in zip(byte_gru.with_params(model, total / size).params(), model.params()):
+        assert np.allclose(a, b, atol=1e-6)
