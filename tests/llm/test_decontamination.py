@@ -24,6 +24,18 @@ def _inside(s, b):
     return all(x in it for x in s)
 
 
+def test_passages_are_counted_without_search_trees(monkeypatch):
+    """Each cell once a passage; whole passages are sorted side by side, so only what is left behind them is made unique alone."""
+    text = " ".join(f"w{i * i % 23}" for i in range(16 * 40 + 5))
+    c = dec.cells(dec.words(text))
+    want = np.bincount(np.concatenate([np.unique(c[i : i + 16]) for i in range(0, len(c), 16)]), minlength=dec.CELLS)
+    sizes, unique = [], np.unique
+    monkeypatch.setattr(dec.np, "unique", lambda x, *a, **b: sizes.append(len(x)) or unique(x, *a, **b))
+    got = [np.bincount(dec._passage_cells(t), minlength=dec.CELLS) for t in (text, "w1 w2 w1", "", None)]
+    assert (got[0] == want).all() and [x.sum() for x in got[1:]] == [2, 0, 0]
+    assert max(sizes) < dec.WINDOW
+
+
 def test_answer():
     assert dec.answer("What is it? Answer: forty two").strip() == "forty two"
     assert dec.answer("First one here. The second one here.") == "The second one here."
