@@ -147,3 +147,29 @@ def test_chain_of_versions(spark):
     got = run(spark, rows, 3, 90)
     assert got == brute(rows, 3, 90)
     assert {component for _, _, component in got} == {0}
+
+
+def test_pairs_left_in_rings_are_not_listed(spark, monkeypatch):
+    """Loose versions of one text, each with many close copies: more families than pivots, and no row for every pair of copies."""
+    monkeypatch.setattr(jaccard_join, "TURNS", 1)
+    rng = random.Random(41)
+    base, rows = [f"w{rng.randrange(10**6)}" for _ in range(100)], []
+    for _ in range(4):
+        version = list(base)
+        for at in rng.sample(range(5, 95), 3):
+            version[at] = f"v{rng.randrange(10**6)}"
+        for _ in range(40):
+            w = list(version)
+            w[rng.randrange(100)] = f"u{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    written, staged = [], jaccard_join.staged
+
+    def counted(df, label):
+        out = staged(df, label)
+        if label in ("pairs", "links"):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    assert run(spark, rows, 5, 80) == brute(rows, 5, 80)
+    assert max(written) <= 3 * len(rows)
