@@ -118,3 +118,20 @@ def test_every_byte_teaches_once(model):
     assert size == 2 * 121 + 2
     for a, b in zip(byte_gru.with_params(model, total / size).params(), model.params()):
         assert np.allclose(a, b, atol=1e-6)
+
+
+def test_steps_take_no_new_memory(model):
+    """Steps, and windows that are read, work in the same arrays again, and give what fresh arrays give."""
+    rng, space = np.random.default_rng(2), byte_gru.Space()
+    batches = [(rng.choice(np.frombuffer(b"abcd ", np.uint8), (32, n)), rng.integers(0, 2, n)) for n in (512, 40, 512)]
+    kept = None
+    for steps, target in batches:
+        steps[20:, :9] = byte_gru.PAD
+        got = byte_gru.gradients(model, steps, target, None, space)[1]
+        for a, b in zip(got, byte_gru.gradients(model, steps, target)[1]):
+            assert np.array_equal(a, b)
+        kept = kept or {k: id(x) for k, x in space._kept.items()}
+        assert kept == {k: id(x) for k, x in space._kept.items()}
+    texts = [b"abba" * 500, b"cd", b"", b"ba" * 30]
+    assert np.array_equal(byte_gru.pooled(model, texts, space), byte_gru.pooled(model, texts))
+    assert np.array_equal(byte_gru.pooled(model, texts[1:], space), byte_gru.pooled(model, texts[1:]))
