@@ -84,3 +84,25 @@ def test_query_answers_its_budget(spark):
         text, chars = docs[r["doc_id"]], r["chars_within_limit"]
         assert (chars < len(text)) == r["over_limit"]
         assert counter.totals([text[:chars]])[0] <= op5.LIMIT
+
+
+def test_neighbours_without_encoding_them_again():
+    """Whether two tokens stay apart follows from how they are made, and no pair's text is encoded for it."""
+    pairs = PrefixCounter(tokenizer_path()).pairs
+    rng, tokens = random.Random(3), sorted(pairs.tokens)
+    short = [t for t in tokens if len(t) < 4]
+    drawn = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(1500)] + [(rng.choice(short), rng.choice(short)) for _ in range(1500)]
+    drawn += [(t * 1, t) for t in short[::40]] + [(t[:k], t[k:]) for t in tokens[::40] for k in range(1, len(t)) if {t[:k], t[k:]} <= pairs.tokens]
+    drawn += [(a * 2, a) for a in short if len(a) == 1 and a * 2 in pairs.tokens] + [(a, a * 2) for a in short if len(a) == 1 and a * 2 in pairs.tokens]
+    assert pairs._in_order
+    for a, b in drawn:
+        assert pairs._stay_apart(a, b) == (pairs.merge(a + b) == [a, b]), (a, b)
+
+
+def test_words_are_learned_without_encoding_pairs(monkeypatch):
+    counter = PrefixCounter(tokenizer_path())
+    monkeypatch.setattr(type(counter.pairs), "merge", None)
+    texts = ["strangely worded inventions aaaaaa", "wörds of no wordbook: xqzjkv", "word " * 20, "<|endoftext|> and more words"]
+    totals, chars = counter.with_budget(texts, 9)
+    assert totals == [n(t) for t in texts] and totals == counter.totals(texts)
+    assert chars == [counter.longest_within(t, 9) for t in texts]
