@@ -202,3 +202,23 @@ def test_orthonormal_in_blocks():
     few[:4, 0] = 1
     dec._orthonormal(few)
     assert np.allclose(few.T @ few, np.eye(6), atol=1e-4)
+
+
+def test_places_are_compared_once_and_only_with_enough_words(monkeypatch):
+    """Passages that point to one place, and places with few of an item's words, cost no search for common words in order."""
+    rng = random.Random(8)
+    item = [f"w{i}" for i in range(40)]
+    fill = lambda k: [f"f{rng.randrange(10**6)}" for _ in range(k)]
+    part = [w if i % 2 else f"g{i}" for i, w in enumerate(item)]
+    held, half = " ".join(fill(60) + item + fill(60)), " ".join(fill(60) + part + fill(60))
+    idf = np.ones(dec.CELLS, np.float32)
+    basis = dec._half(np.random.default_rng(2).standard_normal((dec.CELLS, dec.RANK)) / 100)
+    index = dec.build_index([("item", " ".join(item))], idf, basis)
+    looked, common = [], dec.common_length
+    monkeypatch.setattr(dec, "common_length", lambda a, b: looked.append(len(a)) or common(a, b))
+    monkeypatch.setattr(dec, "NEAR", 0.3)
+    changed = " ".join(fill(60) + item[:20] + item[:3:-1] + fill(60))
+    assert [m[0] for m in dec.matches(held, index, idf, basis)] == [0] and len(looked) == 2
+    looked.clear()
+    assert dec.matches(half, index, idf, basis) == [] and looked == []
+    assert dec.matches(changed, index, idf, basis) == [] and 0 < len(looked) <= 30
