@@ -135,3 +135,32 @@ def test_steps_take_no_new_memory(model):
     texts = [b"abba" * 500, b"cd", b"", b"ba" * 30]
     assert np.array_equal(byte_gru.pooled(model, texts, space), byte_gru.pooled(model, texts))
     assert np.array_equal(byte_gru.pooled(model, texts[1:], space), byte_gru.pooled(model, texts[1:]))
+
+
+def test_both_directions_take_a_step_at_once(model, monkeypatch):
+    """A step of both directions is one call of each kind, none reads context that nothing needs, and all is as worked out plainly."""
+    text = b"abba cdcd " * 60
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    states = []
+    for table, inner, read in zip(model.table, model.inner, (text, text[::-1])):
+        h, hidden, found = np.zeros(len(inner)), len(inner), []
+        for byte in read:
+            x, u = table[byte], h @ inner
+            z, r = sigmoid(x[:hidden] + u[:hidden]), sigmoid(x[hidden : 2 * hidden] + u[hidden : 2 * hidden])
+            h = z * h + (1 - z) * np.tanh(x[2 * hidden :] + r * u[2 * hidden :])
+            found.append(h)
+        states.append(found)
+    scores = np.hstack([states[0], states[1][::-1]]) @ model.out + model.bias
+    plain = np.exp(scores) / np.exp(scores).sum(axis=1, keepdims=True)
+
+    calls, tanh = [], np.tanh
+    monkeypatch.setattr(np, "tanh", lambda *a, **k: calls.append(1) or tanh(*a, **k))
+    got = byte_gru._probabilities(model, np.full((len(text) + 2 * byte_gru.CONTEXT, 1), byte_gru.PAD, np.uint8), byte_gru.Space())
+    assert len(got) == len(text) and len(calls) == 2 * (len(text) + byte_gru.CONTEXT)
+    calls.clear()
+    padded = np.frombuffer(bytes([byte_gru.PAD] * byte_gru.CONTEXT) + text + bytes([byte_gru.PAD] * byte_gru.CONTEXT), np.uint8)
+    got = byte_gru._probabilities(model, padded[:, None], byte_gru.Space())
+    assert np.allclose(got[:, :, 0], plain, atol=1e-4)
+    calls.clear()
+    byte_gru.gradients(model, np.tile(padded[12:44, None], (1, 5)), np.array([0, 1, 0, 1, 0]))
+    assert len(calls) == 2 * 32
