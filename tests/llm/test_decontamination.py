@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.conftest import SF_DIR
@@ -222,3 +224,49 @@ def test_places_are_compared_once_and_only_with_enough_words(monkeypatch):
     looked.clear()
     assert dec.matches(half, index, idf, basis) == [] and looked == []
     assert dec.matches(changed, index, idf, basis) == [] and 0 < len(looked) <= 30
+
+
+def test_memory_of_a_fitting_task(monkeypatch):
+    """A task that multiplies by the sample's passages keeps one matrix of sums, and wide rows of a bounded number of words."""
+    rng = random.Random(5)
+    words = vocabulary(rng)
+    texts = [text(rng, words, 300) for _ in range(60)]
+    peaks = []
+
+    class Frame:
+        """A task by itself: what it sends goes on at once."""
+
+        sparkSession = property(lambda self: self)
+        sparkContext = property(lambda self: self)
+        groupBy = applyInPandas = lambda self, *a: self
+        destroy = lambda self: None
+
+        def broadcast(self, value):
+            out = Frame()
+            out.value = value
+            return out
+
+        def mapInPandas(self, work, schema):
+            self.work = work
+            return self
+
+        def toLocalIterator(self):
+            tracemalloc.start()
+            for frame in self.work(iter([pd.DataFrame({"text": texts[:30]}), pd.DataFrame({"text": texts[30:]})])):
+                for block, sums in zip(frame["block"], frame["sums"]):
+                    before = tracemalloc.get_traced_memory()[0]
+                    yield {"block": block, "sums": sums}
+                    assert tracemalloc.get_traced_memory()[0] - before < 1 << 20
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+
+    idf = np.ones(dec.CELLS, np.float32)
+    whole = dec.directions(Frame(), idf, rank=8)
+    matrix = dec.CELLS * (8 + dec.OVERSAMPLING) * 4
+    assert len(peaks) == dec.POWERS + 1 and max(peaks) < 2 * matrix
+    assert [len(p) for p in dec._portions(["a" * dec.PORTION, None, "b"])] == [2, 1] and list(dec._portions([])) == []
+    monkeypatch.setattr(dec, "PART", 700)
+    monkeypatch.setattr(dec, "PORTION", 4000)
+    parts = dec.directions(Frame(), idf, rank=8)
+    turned = whole[:, :2].astype(float).T @ parts[:, :2].astype(float) / dec.LIFT**2
+    assert np.allclose(np.abs(turned), np.eye(2), atol=2e-2)

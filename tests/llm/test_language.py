@@ -164,3 +164,13 @@ def test_both_directions_take_a_step_at_once(model, monkeypatch):
     calls.clear()
     byte_gru.gradients(model, np.tile(padded[12:44, None], (1, 5)), np.array([0, 1, 0, 1, 0]))
     assert len(calls) == 2 * 32
+
+
+def test_no_more_windows_at_once(model, monkeypatch):
+    """What goes through the network at once is bounded, wherever long and short texts end."""
+    monkeypatch.setattr(byte_gru, "WINDOWS", 4)
+    texts = [b"ab" * n for n in (100, 1200, 0, 3, 700, 2000)]
+    got = list(byte_gru._windows(texts))
+    assert [len(o) for _, o in got[:-1]] == [4] * (len(got) - 1) and len(got[-1][1]) <= 4
+    owners = np.concatenate([o for _, o in got])
+    assert owners.tolist() == [i for i, t in enumerate(texts) for _ in range(-(-len(t) // byte_gru.SPAN))]
