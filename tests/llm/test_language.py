@@ -174,3 +174,20 @@ def test_no_more_windows_at_once(model, monkeypatch):
     assert [len(o) for _, o in got[:-1]] == [4] * (len(got) - 1) and len(got[-1][1]) <= 4
     owners = np.concatenate([o for _, o in got])
     assert owners.tolist() == [i for i, t in enumerate(texts) for _ in range(-(-len(t) // byte_gru.SPAN))]
+
+
+def test_no_scattered_lookups_in_a_step(model, monkeypatch):
+    """A step changes all parameters, views of one row, at once; its sums by byte are cut by one count for both directions."""
+    params = [p.copy() for p in model.params()]
+    own = byte_gru.with_params(model, np.concatenate([p.ravel() for p in params]))
+    adam = byte_gru._Adam(own)
+    steps = np.random.default_rng(3).choice(np.frombuffer(b"abcd", np.uint8), (16, 6))
+    calls, diff = [], np.diff
+    monkeypatch.setattr(np, "diff", lambda *a, **k: calls.append(1) or diff(*a, **k))
+    loss, grads = byte_gru.gradients(own, steps, np.array([0, 1] * 3))
+    assert not calls
+    adam.step(grads, 0.01)
+    for before, after, grad in zip(params, own.params(), grads):
+        moved = np.abs(grad) > 1e-4
+        assert np.shares_memory(after, adam.row) and np.array_equal(np.sign(before - after)[moved], np.sign(grad)[moved])
+    assert byte_gru.gradients(own, steps, np.array([0, 1] * 3))[0] < loss
