@@ -193,6 +193,38 @@ def test_the_sample_holds_each_text_once(spark, monkeypatch):
     assert len(seen[0]) == len(set(seen[0])) and len(seen[0]) <= 21
 
 
+@pytest.mark.parametrize("use", [dec.contaminated, dec.uncontaminated])
+def test_directions_are_those_of_all_texts(spark, monkeypatch, use):
+    """What texts outside the sample say, and nothing in it does, is in the directions; each text counts once."""
+    monkeypatch.setattr(dec, "SAMPLE", 6)
+    seen, search = [], dec._search
+    monkeypatch.setattr(dec, "_search", lambda indexes, weights, kind: seen.append(weights.value) or search(indexes, weights, kind))
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(48)]
+    texts = [" ".join(rng.choice(words[8 * (i % 6) :][:8]) for _ in range(40)) for i in range(240)]
+    bench = spark.createDataFrame([(1, "an item of the benchmark")], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(1000 + i, texts[0]) for i in range(300)] + [(9, None)], "doc_id long, text string").repartition(5)
+    use(docs, bench)
+    idf, basis = seen[0]
+    row, column, weight, n = dec._entries([*texts, "an item of the benchmark"], idf)
+    dense = np.zeros((n, dec.CELLS), np.float32)
+    np.add.at(dense, (row, column), weight)
+    used = np.flatnonzero(dense.any(axis=0))
+    exact = np.linalg.svd(dense[:, used], compute_uv=False)
+    got = np.linalg.norm(dense @ (basis.astype(np.float32) / dec.LIFT), axis=0)
+    assert np.allclose(got[:8], exact[:8], rtol=0.01)
+    assert (got**2).sum() > 0.995 * (exact[: dec.RANK] ** 2).sum()
+
+
+def test_all_cells_are_those_of_every_text(spark):
+    docs = spark.createDataFrame([("b a",), ("a b c",), ("b, A",), (None,), ("",), ("?!",)], "text string")
+    bench = spark.createDataFrame([(1, "a b c"), (2, "d"), (3, None)], "item_id long, item string")
+    got = sorted(bytes(r[0]) for r in dec._all_cells(docs, bench).collect())
+    assert got == sorted(dec.cells(dec.words(t)).astype(np.uint16).tobytes() for t in ("b a", "a b c", "d"))
+    none = spark.createDataFrame([], "text string")
+    assert dec._all_cells(none, bench.limit(0)).collect() == []
+
+
 def test_orthonormal_in_blocks():
     rng = np.random.default_rng(1)
     matrix = (rng.standard_normal((dec.CELLS, 12)) * np.logspace(0, -3, 12)).astype(np.float32)
