@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import time
+from hashlib import md5
 
 from pyspark.sql import functions as F
 
 from tradeops.operators.orders import collapse_by_primary
+from tradeops.operators.ranking import numbers_by_group
+from tradeops.plans import po_lines
 from tradeops.sources.staging import SHUFFLES_GO, staged
 
 
@@ -43,3 +46,37 @@ def test_columns_of_a_key_meet_the_collapsed_rows_where_they_lie(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert got == [(1, 11, "y"), (2, 21, None)]
     assert plans[1] == plans[0] + 1  # the side's own
+
+
+def test_rows_of_an_order_move_once_for_its_dates_and_numbers(spark):
+    data = [(po, i, u) for po, n in (("a", 3), (None, 2), ("b", 1)) for i in range(n) for u in (1, None)]
+    df = spark.createDataFrame(
+        [(po, i, u, f"1998-0{1 + i}-0{u or 2}") for po, i, u in data], "_po_no_ekporef string, __line int, _freight_unit_id int, day string"
+    ).withColumns({c: F.col("day").cast("date") for c in ("_eta", "_eta_simple", "_eta_wakeo")})
+    df = df.withColumns({"_arrival_date": F.lit(None).cast("date"), **{c: F.lit("x") for c in (
+        "purchase_order_company_id", "_shipped", "_shipment_serial_iss_job", "_supplier_lead_time", "__unit_row", "_fo_serial")}})
+    df = staged(df, "tracked")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = po_lines.with_line_ids(po_lines._with_order_delivery(df, F.lit("1998-09-02").cast("date")))
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 2  # the rows, and the orders' totals
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {(r._po_no_ekporef, str(r._first_edd_po), str(r._current_edd_po)) for r in rows} == {
+        ("a", "1998-01-04", "1998-03-05"), (None, "1998-01-04", "1998-02-05"), ("b", "1998-01-04", "1998-01-05")}
+    ids = {(r._po_no_ekporef, r["__line"], r._freight_unit_id): r._line_id for r in rows}
+    assert len(ids) == len(rows) == len(data)
+    ranked = {k: 1 + sum(o[0] == k[0] and (o[1], o[2] or 9) < (k[1], k[2] or 9) for o in data) for k in data if k[0]}
+    assert all(ids[k] == md5(f"{k[0]}-{k[1]}-fo shipped-x-{n}".encode()).hexdigest() for k, n in ranked.items())
+
+
+def test_groups_named_by_a_struct_are_numbered(spark):
+    df = spark.createDataFrame([(k, i) for k, n in ((None, 9), ("a", 30), ("b", 3)) for i in range(n)], "k string, i int")
+    df = staged(df.withColumn("group", F.struct("k")), "groups")
+    for crowd in (5, 100):
+        got = numbers_by_group(df, ["group"], ["i"], "n", crowd=crowd).collect()
+        assert len(got) == 42 and all(r.n == r.i + 1 for r in got)
