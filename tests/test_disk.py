@@ -7,10 +7,14 @@ from hashlib import md5
 
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_DIR
+from tradeops.operators import grouping, recon
 from tradeops.operators.orders import collapse_by_primary
 from tradeops.operators.ranking import numbers_by_group
-from tradeops.plans import po_lines
+from tradeops.plans import intercompany, po_lines
+from tradeops.sources import staging
 from tradeops.sources.staging import SHUFFLES_GO, staged
+from tradeops.workload.base import inputs
 
 
 def shuffles(spark) -> set:
@@ -80,3 +84,27 @@ def test_groups_named_by_a_struct_are_numbered(spark):
     for crowd in (5, 100):
         got = numbers_by_group(df, ["group"], ["i"], "n", crowd=crowd).collect()
         assert len(got) == 42 and all(r.n == r.i + 1 for r in got)
+
+
+def test_documents_are_merged_once_with_sides_without_hot_keys(spark, monkeypatch):
+    left = [(k, s) for k in (1, 2, 3, None) for s in ("m", "a", None)]
+    left = staged(spark.createDataFrame(left, "k int, src string"), "left")
+    right = staged(spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "r int, v string"), "right")
+    want = lambda df: sorted(map(tuple, df.collect()), key=str)
+    for only, cond in ((None, F.lit(True)), (F.col("src") == "m", F.col("src") == "m")):
+        expected = want(left.join(right, (F.col("k") == F.col("r")) & cond, "left"))
+        for crowd in (100, 1):
+            monkeypatch.setattr(grouping, "CROWD", crowd)
+            got = grouping.spread_left_join(left, right, [("k", "r")], only)
+            assert want(got) == expected
+            assert ("LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()) == (crowd == 1)
+
+
+def test_both_ledgers_share_their_links(spark, monkeypatch):
+    labels, write = [], staging.staged
+    for module in (recon, intercompany):
+        monkeypatch.setattr(module, "staged", lambda df, label: labels.append(label) or write(df, label))
+    out = intercompany.ic_both_sides(inputs(spark, SF_DIR))
+    assert labels.count("met-links") == labels.count("links") == 1
+    assert labels.count("settled-documents") == 2 and "matched-documents" not in labels
+    assert out.columns[-1] == "_side" and {r[0] for r in out.select("_side").distinct().collect()} == {"PAYABLES", "RECEIVABLES"}

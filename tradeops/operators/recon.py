@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import choose, flag_set, joined, part, surrogate_key
 from ..sources.staging import staged
-from .grouping import fanout_left_join
+from .grouping import spread_left_join
 
 MANUAL, AUTO = "MANUAL DOCS.", "AUTO DOCS."  # fixed values
 CODE_LENGTH = 4  # fixed value: longest code of a group company
@@ -113,10 +113,26 @@ def link_targets(invoices: DataFrame, credit_notes: DataFrame, attachments: Data
         )
 
     both = named(invoices, "invoice", templates.invoice).unionByName(named(credit_notes, "credit note", templates.credit_note))
-    out = fanout_left_join(both, shared_attachments(attachments, "IssuedInvoice", templates), [("__id", "__parent")])
+    out = spread_left_join(both, shared_attachments(attachments, "IssuedInvoice", templates), [("__id", "__parent")])
     return out.select("__kind", "__serial", "__domain", "__url", "__vault")
 
 
+def met_links(invoices: DataFrame, credit_notes: DataFrame, attachments: DataFrame, templates: Templates = Templates()) -> DataFrame:
+    """(serial, domain) -> links of invoices, credit notes or both, staged: the same for every ledger."""
+    targets = staged(link_targets(invoices, credit_notes, attachments, templates).where(F.col("__domain").isNotNull()), "links")
+    inv = targets.where(F.col("__kind") == "invoice").drop("__kind")
+    cn = targets.where(F.col("__kind") == "credit note").select(
+        F.col("__serial").alias("__cn_serial"), F.col("__domain").alias("__cn_domain"), F.col("__vault").alias("__cn_vault")
+    )
+    # Links of either kind that share serial and domain meet each other: documents, far more rows, then move once.
+    keys = [("__serial", "__cn_serial"), ("__domain", "__cn_domain")]
+    listed = inv.select(F.col("__serial").alias("__s"), F.col("__domain").alias("__d")).distinct()
+    alone = cn.join(listed, (F.col("__cn_serial") == F.col("__s")) & (F.col("__cn_domain") == F.col("__d")), "left_anti")
+    alone = alone.withColumnsRenamed({b: a for a, b in keys})
+    met = spread_left_join(inv, cn, keys).drop("__cn_serial", "__cn_domain")
+    return staged(met.unionByName(alone, allowMissingColumns=True), "met-links")
+
+
 def document_links(
     docs: DataFrame, invoices: DataFrame, credit_notes: DataFrame, attachments: DataFrame,
     templates: Templates = Templates(),
@@ -127,22 +143,11 @@ def document_links(
     on the link side. The links are staged; ``docs`` is read more than once
     and should be staged too.
     """
-    targets = staged(link_targets(invoices, credit_notes, attachments, templates).where(F.col("__domain").isNotNull()), "links")
-    inv = targets.where(F.col("__kind") == "invoice").drop("__kind")
-    cn = targets.where(F.col("__kind") == "credit note").select(
-        F.col("__serial").alias("__cn_serial"), F.col("__domain").alias("__cn_domain"), F.col("__vault").alias("__cn_vault")
-    )
-    # Links of either kind that share serial and domain meet each other first: documents, far more rows, then move once.
-    keys = [("__serial", "__cn_serial"), ("__domain", "__cn_domain")]
-    listed = inv.select(F.col("__serial").alias("__s"), F.col("__domain").alias("__d")).distinct()
-    alone = cn.join(listed, (F.col("__cn_serial") == F.col("__s")) & (F.col("__cn_domain") == F.col("__d")), "left_anti")
-    alone = alone.withColumnsRenamed({b: a for a, b in keys})
-    met = fanout_left_join(inv, cn, keys).drop("__cn_serial", "__cn_domain")
-    links = staged(met.unionByName(alone, allowMissingColumns=True), "met-links")
+    links = met_links(invoices, credit_notes, attachments, templates)
     free_text = F.upper(part("_invoice", "-", 2)).isin("FTI", "CN")
     path = F.format_string(templates.free_text, part("_invoice", "-", 1), F.col("_invoice"))
     return (
-        fanout_left_join(docs, links, [("_invoice", "__serial"), ("_iss_domain", "__domain")])
+        spread_left_join(docs, links, [("_invoice", "__serial"), ("_iss_domain", "__domain")])
         .withColumns(
             {"_url": F.col("__url"), "_url_vault": F.when(free_text, path).otherwise(F.coalesce("__vault", "__cn_vault"))}
         )
@@ -193,7 +198,7 @@ def credit_note_match(docs: DataFrame, txns: DataFrame, side: Side, swapped: boo
     )
     account_is, company_is = (side.company_role, side.account_role) if swapped else (side.account_role, side.company_role)
     pairs = [("_invoice", "__orig_invoice"), (account_is, "__cn_account"), (company_is, "__cn_company")]
-    out = fanout_left_join(docs, staged(matched, "credit-notes"), pairs, only=F.col("_src") == MANUAL)
+    out = spread_left_join(docs, staged(matched, "credit-notes"), pairs, only=F.col("_src") == MANUAL)
     return out.drop("__orig_invoice", "__cn_account", "__cn_company")
 
 
@@ -239,7 +244,7 @@ def settlement_split(docs: DataFrame, txns: DataFrame, side: Side, swapped: bool
     ).select("__j_invoice", "__j_account", "__j_company", "_amount_settle_negative", "_amount_settle_positive")
     account_is, company_is = (side.company_role, side.account_role) if swapped else (side.account_role, side.company_role)
     pairs = [("_invoice", "__j_invoice"), (account_is, "__j_account"), (company_is, "__j_company")]
-    out = fanout_left_join(docs, staged(settled, "settlements"), pairs, only=F.col("_src") == AUTO)
+    out = spread_left_join(docs, staged(settled, "settlements"), pairs, only=F.col("_src") == AUTO)
     return out.drop("__j_invoice", "__j_account", "__j_company")
 
 

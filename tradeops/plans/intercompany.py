@@ -11,6 +11,7 @@ from ..functions.text import blank_to_null, clean_upper, joined, lacks, or_na, s
 from ..operators.access import visible_to
 from ..operators.grouping import attach_totals
 from ..operators.recon import (
+    AUTO,
     CODE_LENGTH,
     DOCUMENT_IDS,
     PAYABLES,
@@ -99,17 +100,22 @@ def ic_payments(tables: Mapping[str, DataFrame], not_accounts: tuple[int, ...] =
     )
 
 
-def _documents(
-    tables: Mapping[str, DataFrame], txns: DataFrame, side: Side, templates: Templates, swapped: bool, viewer: str | None
-) -> DataFrame:
-    """A side's documents. Each step reads its input several times, so it is staged in between; rows stay narrow."""
+def _settled(tables: Mapping[str, DataFrame], txns: DataFrame, side: Side, swapped: bool, viewer: str | None) -> tuple[DataFrame, list[str]]:
+    """A side's documents without ids and links, and the names of their ledger columns. Steps read them several times, so they
+    are staged before and behind; rows stay narrow. A document is matched with credit notes or split by settlements, as its label says.
+    """
     docs = document_ledger(txns, tables["branch_domain"], side)
     published = docs.columns
     if viewer is not None:
         docs = visible_to(docs, ["_vendor", "_client"], ic_entitlements(tables), "_office", "_email", viewer)
     docs = staged(docs.drop(*DOCUMENT_IDS), "ledger-documents")
-    docs = staged(credit_note_match(docs, txns, side, swapped), "matched-documents")
-    docs = staged(settlement_split(docs, txns, side, swapped), "settled-documents")
+    posted = F.col("_src") == AUTO
+    matched = credit_note_match(docs.where(~posted), txns, side, swapped)
+    docs = matched.unionByName(settlement_split(docs.where(posted), txns, side, swapped), allowMissingColumns=True)
+    return staged(docs, "settled-documents"), published
+
+
+def _linked(tables: Mapping[str, DataFrame], docs: DataFrame, published: list[str], templates: Templates) -> DataFrame:
     docs = document_links(
         docs, tables["issued_invoices"], tables["issued_credit_notes"], tables["attachments"], templates
     )
@@ -119,6 +125,14 @@ def _documents(
     )
 
 
+def _payables(tables: Mapping[str, DataFrame], faithful: bool, viewer: str | None = None) -> tuple[DataFrame, list[str]]:
+    return _settled(tables, tables["vendor_transactions"], PAYABLES if faithful else PAYABLES_CORRECTED, faithful, viewer)
+
+
+def _receivables(tables: Mapping[str, DataFrame], viewer: str | None = None) -> tuple[DataFrame, list[str]]:
+    return _settled(tables, tables["customer_transactions"], RECEIVABLES, False, viewer)
+
+
 def ic_client_side(
     tables: Mapping[str, DataFrame], templates: Templates = Templates(), faithful: bool = True, viewer: str | None = None
 ) -> DataFrame:
@@ -127,16 +141,17 @@ def ic_client_side(
     ``faithful=False`` corrects the kept quirks: journal documents get their own
     label, keys are compared straight, and rows without any document are left out.
     """
-    side = PAYABLES if faithful else PAYABLES_CORRECTED
-    return _documents(tables, tables["vendor_transactions"], side, templates, faithful, viewer)
+    return _linked(tables, *_payables(tables, faithful, viewer), templates)
 
 
 def ic_vendor_side(tables: Mapping[str, DataFrame], templates: Templates = Templates(), viewer: str | None = None) -> DataFrame:
     """Receivables documents, or those that ``viewer`` may see."""
-    return _documents(tables, tables["customer_transactions"], RECEIVABLES, templates, False, viewer)
+    return _linked(tables, *_receivables(tables, viewer), templates)
 
 
 def ic_both_sides(tables: Mapping[str, DataFrame], templates: Templates = Templates(), faithful: bool = True) -> DataFrame:
-    """Documents of both ledgers; ``_side`` tells them apart."""
-    client = ic_client_side(tables, templates, faithful).withColumn("_side", F.lit("PAYABLES"))
-    return client.unionByName(ic_vendor_side(tables, templates).withColumn("_side", F.lit("RECEIVABLES")))
+    """Documents of both ledgers; ``_side`` tells them apart. They meet their links together: these are made and sorted once."""
+    (client, published), (vendor, _) = _payables(tables, faithful), _receivables(tables)
+    both = client.withColumn("_side", F.lit("PAYABLES")).unionByName(vendor.withColumn("_side", F.lit("RECEIVABLES")))
+    linked = _linked(tables, both, [*published, "_side"], templates)
+    return linked.select(*[c for c in linked.columns if c != "_side"], "_side")
