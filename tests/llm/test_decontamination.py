@@ -216,6 +216,12 @@ def test_directions_are_those_of_all_texts(spark, monkeypatch, use):
     assert (got**2).sum() > 0.995 * (exact[: dec.RANK] ** 2).sum()
 
 
+def test_a_fitting_task_takes_as_many_staged_words_as_words_of_texts():
+    words = dec.PORTION // (2 * dec.SIZE)
+    portions = list(dec._portions([bytes(2 * (words // 4))] * 9))
+    assert [len(p) for p in portions] == [4, 4, 1]
+
+
 def test_all_cells_are_those_of_every_text(spark):
     docs = spark.createDataFrame([("b a",), ("a b c",), ("b, A",), (None,), ("",), ("?!",)], "text string")
     bench = spark.createDataFrame([(1, "a b c"), (2, "d"), (3, None)], "item_id long, item string")
